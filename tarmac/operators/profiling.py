@@ -195,7 +195,7 @@ def delay_describe(raw: DataFrame) -> DataFrame:
     Flights are counted per distinct delay first; quartiles and moments come
     from those counts.
     """
-    quartiles = F.percentile("ARR_DELAY", [0.25, 0.5, 0.75], "n")
+    quartiles = F.percentile("ARR_DELAY", [0.25, 0.5, 0.75], F.col("n"))
     moments = _moments("ARR_DELAY", "n")
     return delay_counts(operated_delays(raw)).agg(
         F.sum("n").alias("count"),
@@ -254,7 +254,7 @@ def summary(raw: DataFrame, year: int = 2019) -> DataFrame:
         F.sum("n").alias("total_records"),
         F.count_distinct("OP_UNIQUE_CARRIER").alias("unique_carriers"),
         F.round(moments["mean"], 4).alias("arr_delay_mean"),
-        F.percentile("ARR_DELAY", 0.5, "timed").alias("arr_delay_median"),
+        F.percentile("ARR_DELAY", 0.5, F.col("timed")).alias("arr_delay_median"),
         F.round(moments["std"], 4).alias("arr_delay_std"),
         F.round(moments["skewness"], 4).alias("arr_delay_skewness"),
         percent(F.sum(F.when(in_year, F.col("cancelled"))), F.sum(F.when(in_year, F.col("n")))).alias(
