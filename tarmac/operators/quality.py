@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +16,11 @@ def _status(failures: Column, otherwise: str = "FAIL") -> Column:
 
 
 def union_rows(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+    """One table of all parts, united in pairs so that no plan is analysed over and over."""
+    while len(parts) > 1:
+        pairs = [parts[i : i + 2] for i in range(0, len(parts), 2)]
+        parts = [pair[0].union(pair[1]) if len(pair) == 2 else pair[0] for pair in pairs]
+    return parts[0]
 
 
 def _tidy(table: str, counts: DataFrame, columns: list[str], otherwise: str = "FAIL") -> DataFrame:

@@ -13,6 +13,7 @@ from tarmac.operators import dimensions, facts, kpis, profiling, quality, questi
 from tarmac.plans import declared_checks
 from tarmac.plans.warehouse import Warehouse
 from tarmac.schemas import FLIGHT_FILE_COLUMNS
+from tarmac.session import tune
 from tarmac.sources import landing
 from tarmac.sources.tables import fresh_folder
 
@@ -232,7 +233,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def _bound(query: WarehouseQuery) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: comparable(query(Warehouse.of_driver_tables(spark, sf_dir, AS_OF)))
+    return lambda spark, sf_dir: comparable(query(Warehouse.of_driver_tables(tune(spark), sf_dir, AS_OF)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -15,6 +15,7 @@ SPARK = {
     "days": "datediff(cast(l_shipdate as date), date'1995-01-01')",
     "FL_DATE": "date_add(date'2019-07-01', dd)",
     "DAY_OF_WEEK": "cast(weekday(FL_DATE) + 1 as bigint)",
+    "pick": "get(array({items}), cast({index} as int))",
 }
 
 _ORIGINS, _DESTS = "ATL,ORD,DFW,JFK,SEA,GUM", "LAX,ATL,IAH,BOS,LAX,HNL"
@@ -23,8 +24,12 @@ _ORIGIN_CITIES = "Atlanta, GA;Chicago, IL;Dallas/Fort Worth, TX;New York, NY;Sea
 _DEST_CITIES = "Los Angeles, CA;Atlanta, GA;Houston, TX;Boston, MA;Los Angeles, CA;Honolulu, HI"
 
 
-def _pick(values: str, index: str, separator: str = ",") -> str:
-    return f"split_part('{values}', '{separator}', cast({index} + 1 as int))"
+def _chooser(dialect: dict[str, str]):
+    def pick(values: str, index: str, separator: str = ",") -> str:
+        items = ", ".join(f"'{value}'" for value in values.split(separator))
+        return dialect["pick"].format(items=items, index=index)
+
+    return pick
 
 
 def _clock(hour: str, minute: str) -> str:
@@ -36,6 +41,7 @@ _MINUTE = "cast(floor(h / 24) as bigint)"
 
 def flight_steps(dialect: dict[str, str]) -> list[dict[str, str]]:
     """Successive projections from ``lineitem`` to the raw flight table: name -> SQL."""
+    pick = _chooser(dialect)
     base = {
         "dd": f"cast({dialect['days']} % 1096 as int)",
         "ci": "cast(l_suppkey % 8 as int)",
@@ -53,7 +59,7 @@ def flight_steps(dialect: dict[str, str]) -> list[dict[str, str]]:
         "dv": "case when h % 211 = 0 then 1 else 0 end",
         "ad": "case when h % 101 = 0 then 250 + h % 90 when h % 29 = 0 then 46 + h % 175 "
         "else (h % 61) - 40 + ci * 2 + case when ri = 3 then 8 else 0 end end",
-        "dist": f"cast({_pick('1946,606,224,187,954,3801', 'ri')} as int)",
+        "dist": f"cast({pick('1946,606,224,187,954,3801', 'ri')} as int)",
     }
     judged = {
         **{name: name for name in drawn},
@@ -78,18 +84,18 @@ def flight_steps(dialect: dict[str, str]) -> list[dict[str, str]]:
         "DAY_OF_MONTH": "cast(day(FL_DATE) as bigint)",
         "DAY_OF_WEEK": dialect["DAY_OF_WEEK"],
         "FL_DATE": "FL_DATE",
-        "OP_UNIQUE_CARRIER": _pick("AA,DL,UA,WN,AS,B6,NK,ZZ", "ci"),
-        "OP_CARRIER": _pick("AA,DL,UA,WN,AS,B6,NK,ZZ", "ci"),
+        "OP_UNIQUE_CARRIER": pick("AA,DL,UA,WN,AS,B6,NK,ZZ", "ci"),
+        "OP_CARRIER": pick("AA,DL,UA,WN,AS,B6,NK,ZZ", "ci"),
         "TAIL_NUM": "case when h % 401 <> 0 then concat('N', cast(100 + h % 900 as string)) end",
         "OP_CARRIER_FL_NUM": "fl_num",
-        "ORIGIN_AIRPORT_ID": f"cast({_pick(_ORIGIN_IDS, 'ri')} as bigint)",
-        "ORIGIN": _pick(_ORIGINS, "ri"),
-        "ORIGIN_CITY_NAME": _pick(_ORIGIN_CITIES, "ri", ";"),
-        "ORIGIN_STATE_ABR": f"nullif({_pick('GA,IL,TX,NY,WA,', 'ri')}, '')",
-        "DEST_AIRPORT_ID": f"cast({_pick(_DEST_IDS, 'ri')} as bigint)",
-        "DEST": _pick(_DESTS, "ri"),
-        "DEST_CITY_NAME": _pick(_DEST_CITIES, "ri", ";"),
-        "DEST_STATE_ABR": _pick("CA,GA,TX,MA,CA,HI", "ri"),
+        "ORIGIN_AIRPORT_ID": f"cast({pick(_ORIGIN_IDS, 'ri')} as bigint)",
+        "ORIGIN": pick(_ORIGINS, "ri"),
+        "ORIGIN_CITY_NAME": pick(_ORIGIN_CITIES, "ri", ";"),
+        "ORIGIN_STATE_ABR": f"nullif({pick('GA,IL,TX,NY,WA,', 'ri')}, '')",
+        "DEST_AIRPORT_ID": f"cast({pick(_DEST_IDS, 'ri')} as bigint)",
+        "DEST": pick(_DESTS, "ri"),
+        "DEST_CITY_NAME": pick(_DEST_CITIES, "ri", ";"),
+        "DEST_STATE_ABR": pick("CA,GA,TX,MA,CA,HI", "ri"),
         "CRS_DEP_TIME": f"cast(case when h % 997 <> 0 then {_clock('h', _MINUTE)} end as bigint)",
         "DEP_TIME": departed(_clock("h", f"{_MINUTE} + h % 7")),
         "DEP_DELAY": departed("ad - 5"),
@@ -107,7 +113,7 @@ def flight_steps(dialect: dict[str, str]) -> list[dict[str, str]]:
         "ARR_DEL15": flown("case when ad >= 15 then 1 else 0 end"),
         "ARR_DELAY_GROUP": flown("floor(least(greatest(ad, -30), 180) / 15)"),
         "CANCELLED": "cast(can as double)",
-        "CANCELLATION_CODE": f"case when can = 1 then {_pick('A,B,C,D', 'h % 4')} end",
+        "CANCELLATION_CODE": f"case when can = 1 then {pick('A,B,C,D', 'h % 4')} end",
         "DIVERTED": "cast(dv as double)",
         "CRS_ELAPSED_TIME": "cast(case when h % 499 = 0 then 0 else 30 + floor(dist / 8) end as double)",
         "ACTUAL_ELAPSED_TIME": flown("30 + floor(dist / 8) + h % 31 - 15"),
@@ -145,28 +151,30 @@ _KNOWN_AIRPORT_IDS = "10397,13930,11298,12478,14747,12892,12266,10721,12173"
 _STATES = "AL,AK,AZ,AR,CA,CO,CT,DE,FL,GA,ID,IL,IN,IA,KS,KY,LA,ME,MD,MA,MI,MN,PR,VI,NV"
 
 
-def airline_rows() -> dict[str, str]:
+def airline_rows(dialect: dict[str, str]) -> dict[str, str]:
     """Newest airline row of each supplier."""
+    pick = _chooser(dialect)
     known = f"s_suppkey < {_KNOWN_AIRLINES.count(';') + 1}"
     return {
         "Code": "cast(19000 + s_suppkey as string)",
-        "Description": f"case when {known} then {_pick(_KNOWN_AIRLINES, 's_suppkey', ';')} "
+        "Description": f"case when {known} then {pick(_KNOWN_AIRLINES, 's_suppkey', ';')} "
         "else concat(s_name, ': S', cast(s_suppkey as string)) end",
         "_loaded_at": "timestamp '2024-01-15 00:00:00'",
         "_source_file": "'L_AIRLINE_ID.csv'",
     }
 
 
-def airport_rows() -> dict[str, str]:
+def airport_rows(dialect: dict[str, str]) -> dict[str, str]:
     """Newest airport row of each customer; some ids are letters, some names lack a comma."""
+    pick = _chooser(dialect)
     known = f"c_custkey < {_KNOWN_AIRPORT_IDS.count(',') + 1}"
     return {
-        "Code": f"case when {known} then {_pick(_KNOWN_AIRPORT_IDS, 'c_custkey')} "
+        "Code": f"case when {known} then {pick(_KNOWN_AIRPORT_IDS, 'c_custkey')} "
         "when c_custkey % 50 = 49 then concat('X', cast(c_custkey as string)) "
         "else cast(20000 + c_custkey as string) end",
-        "Description": f"case when {known} then {_pick(_KNOWN_AIRPORTS, 'c_custkey', ';')} "
+        "Description": f"case when {known} then {pick(_KNOWN_AIRPORTS, 'c_custkey', ';')} "
         "when c_custkey % 11 = 9 then c_name "
-        f"else concat(c_mktsegment, ', ', {_pick(_STATES, 'c_nationkey % 25')}, ': ', c_name) end",
+        f"else concat(c_mktsegment, ', ', {pick(_STATES, 'c_nationkey % 25')}, ': ', c_name) end",
         "_loaded_at": "timestamp '2024-01-15 00:00:00'",
         "_source_file": "'L_AIRPORT.csv'",
     }
@@ -199,8 +207,8 @@ def _with_older(source: DataFrame, rows: dict[str, str], older: str) -> DataFram
 
 
 def raw_airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_older(_driver_table(spark, sf_dir, "supplier"), airline_rows(), OLDER_AIRLINES)
+    return _with_older(_driver_table(spark, sf_dir, "supplier"), airline_rows(SPARK), OLDER_AIRLINES)
 
 
 def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_older(_driver_table(spark, sf_dir, "customer"), airport_rows(), OLDER_AIRPORTS)
+    return _with_older(_driver_table(spark, sf_dir, "customer"), airport_rows(SPARK), OLDER_AIRPORTS)
