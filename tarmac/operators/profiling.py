@@ -146,25 +146,42 @@ def delay_counts(delays: DataFrame) -> DataFrame:
     return delays.groupBy("ARR_DELAY").agg(_rows().alias("n"))
 
 
+# histogram -> smallest delay left out, low edge, high edge, bins
+HISTOGRAMS = {"all": (None, -60, 300, 100), "late": (15, 15, 500, 80)}
+
+
 def delay_distribution(raw: DataFrame) -> DataFrame:
-    """Clipped histograms of all delays and of those over 15 minutes, empty bins included."""
-    counts = delay_counts(operated_delays(raw))
+    """Clipped histograms of all delays and of those over 15 minutes, empty bins included.
 
-    def histogram(name: str, rows: DataFrame, low: int, high: int, bins: int) -> DataFrame:
-        width = (high - low) / bins
-        filled = rows.groupBy(bin_number(F.col("ARR_DELAY"), low, high, bins).alias("bin")).agg(
-            F.sum("n").alias("flights")
-        )
-        edges = rows.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin"))
-        return edges.join(filled, "bin", "left").select(
-            F.lit(name).alias("histogram"),
-            "bin",
-            F.round(F.lit(float(low)) + (F.col("bin") - 1) * width, 4).alias("lower_edge"),
-            F.coalesce("flights", F.lit(0)).alias("flights"),
+    Both are read off the same flights per distinct delay.
+    """
+    delay = F.col("ARR_DELAY")
+    spark = raw.sparkSession
+
+    def bin_of(name: str) -> Column:
+        above, low, high, bins = HISTOGRAMS[name]
+        entry = F.struct(F.lit(name).alias("histogram"), bin_number(delay, low, high, bins).alias("bin"))
+        return entry if above is None else F.when(delay > above, entry)
+
+    def edges(name: str) -> DataFrame:
+        _, low, high, bins = HISTOGRAMS[name]
+        start = F.lit(float(low)) + F.col("id") * ((high - low) / bins)
+        return spark.range(bins).select(
+            F.lit(name).alias("histogram"), (F.col("id") + 1).alias("bin"), F.round(start, 4).alias("lower_edge")
         )
 
-    late = counts.filter(F.col("ARR_DELAY") > 15)
-    return histogram("all", counts, -60, 300, 100).unionByName(histogram("late", late, 15, 500, 80))
+    filled = (
+        delay_counts(operated_delays(raw))
+        .select("n", F.inline(F.array_compact(F.array(*map(bin_of, HISTOGRAMS)))))
+        .groupBy("histogram", "bin")
+        .agg(F.sum("n").alias("flights"))
+    )
+    return (
+        edges("all")
+        .unionByName(edges("late"))
+        .join(filled, ["histogram", "bin"], "left")
+        .select("histogram", "bin", "lower_edge", F.coalesce("flights", F.lit(0)).alias("flights"))
+    )
 
 
 def _moments(value: str, weight: str) -> dict[str, Column]:

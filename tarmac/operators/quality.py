@@ -33,15 +33,39 @@ def _tidy(table: str, counts: DataFrame, columns: list[str], otherwise: str = "F
     )
 
 
+def _missing(columns: list[str]) -> dict[str, Column]:
+    return {c: F.col(c).isNull() for c in columns}
+
+
+def _outside(accepted: dict[str, list]) -> dict[str, Column]:
+    return {c: ~F.col(c).isin(values) for c, values in accepted.items()}
+
+
+def _failing_rows(table: str, df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    return _tidy(table, df.agg(*[F.count_if(bad).alias(c) for c, bad in conditions.items()]), list(conditions))
+
+
 def not_null(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows missing each column, all columns in one pass."""
-    return _tidy(table, df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]), columns)
+    return _failing_rows(table, df, _missing(columns))
 
 
 def accepted_values(table: str, df: DataFrame, accepted: dict[str, list]) -> DataFrame:
     """Rows outside each column's value list, all columns in one pass; NULL is not a failure."""
-    outside = [F.count_if(~F.col(c).isin(values)).alias(c) for c, values in accepted.items()]
-    return _tidy(table, df.agg(*outside), list(accepted))
+    return _failing_rows(table, df, _outside(accepted))
+
+
+def row_checks(table: str, df: DataFrame, columns: list[str], accepted: dict[str, list]) -> DataFrame:
+    """Both kinds of row check of a table in the same pass, with the kind in ``check_name``."""
+    kinds = {"not_null": _missing(columns), "accepted_values": _outside(accepted)}
+    named = {f"{kind}:{c}": bad for kind, conditions in kinds.items() for c, bad in conditions.items()}
+    return _failing_rows(table, df, named).select(
+        F.substring_index("column_name", ":", 1).alias("check_name"),
+        "table_name",
+        F.substring_index("column_name", ":", -1).alias("column_name"),
+        "failures",
+        "status",
+    )
 
 
 def unique(table: str, df: DataFrame, column: str) -> DataFrame:

@@ -151,13 +151,13 @@ def relationship_checks(tables: Warehouse) -> DataFrame:
 
 
 def all_checks(tables: Warehouse) -> DataFrame:
-    """Every declared check as one table."""
-    kinds = {
-        "not_null": not_null_checks,
-        "unique": unique_checks,
-        "accepted_values": accepted_values_checks,
-        "relationships": relationship_checks,
-    }
-    return quality.union_rows(
-        [checks(tables).selectExpr(f"'{kind}' as check_name", "*") for kind, checks in kinds.items()]
-    )
+    """Every declared check as one table; the row checks of a table share one pass."""
+    by_row = [
+        quality.row_checks(table, getattr(tables, table), columns, ACCEPTED.get(table, {}))
+        for table, columns in NOT_NULL.items()
+    ]
+    by_key = [
+        checks(tables).selectExpr(f"'{kind}' as check_name", "*")
+        for kind, checks in {"unique": unique_checks, "relationships": relationship_checks}.items()
+    ]
+    return quality.union_rows([*by_row, *by_key])

@@ -51,3 +51,11 @@ def test_trend_reads_only_its_columns(spark):
 def test_route_windows_share_one_sort(spark):
     windows = [line for line in physical(warehouse(spark).route_otp_windows).splitlines() if " Window " in line]
     assert len(windows) == 1
+
+
+def test_shared_aggregates_read_flights_once(spark):
+    for name in ("delay_distribution", "otp_projection", "carrier_significance"):
+        df = registry.queries()[name](spark, SF_DIR)
+        df.collect()
+        final = physical(df).split("== Initial Plan ==")[0]
+        assert scans_of_flights(final) <= 1, name

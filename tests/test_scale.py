@@ -106,6 +106,18 @@ def test_hot_keys_are_combined_before_the_shuffle(spark):
     assert quality.natural_key_dups(raw).first().duplicate_rows > 15_000
 
 
+def test_an_oversized_month_is_written_by_several_tasks(spark, tmp_path):
+    raw = hot_flights(spark).repartition(8)  # a partition is cut between the map tasks that wrote it
+    with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="512KB"):
+        tables.write_monthly(raw, str(tmp_path / "t"), F.col("FL_DATE"), ["OP_UNIQUE_CARRIER", "ORIGIN"], "append")
+    files = {
+        month.name: len(list(month.glob("*.parquet"))) for month in (tmp_path / "t").iterdir() if month.is_dir()
+    }
+    hot = files.pop("flight_month_start=2019-08-01")
+    assert hot >= 4 and hot >= max(files.values())
+    assert spark.read.parquet(str(tmp_path / "t")).count() == raw.count()
+
+
 def test_moments_match_the_builtin_functions(spark):
     raw = driver_tables.raw_flights(spark, SF_DIR)
     mine = profiling.delay_describe(raw).first()
