@@ -68,10 +68,17 @@ def row_checks(table: str, df: DataFrame, columns: list[str], accepted: dict[str
     )
 
 
-def unique(table: str, df: DataFrame, column: str) -> DataFrame:
-    """Values that occur more than once; NULL is not checked."""
-    repeated = df.filter(F.col(column).isNotNull()).groupBy(column).count().filter("count > 1")
-    return _tidy(table, repeated.agg(F.count(F.lit(1)).alias(column)), [column])
+def unique(table: str, df: DataFrame, *columns: str) -> DataFrame:
+    """Values, or combinations of values, that occur more than once; NULL is not checked."""
+    name = ", ".join(columns)
+    repeated = df.dropna(subset=list(columns)).groupBy(*columns).count().filter("count > 1")
+    return _tidy(table, repeated.agg(F.count(F.lit(1)).alias(name)), [name])
+
+
+def numeric(table: str, df: DataFrame, column: str) -> DataFrame:
+    """Rows whose text is not a whole number; NULL is not checked."""
+    text = F.col(column)
+    return _failing_rows(table, df, {column: text.isNotNull() & text.try_cast("long").isNull()})
 
 
 def relationship(table: str, df: DataFrame, column: str, parents: DataFrame, parent_column: str) -> DataFrame:

@@ -161,3 +161,13 @@ def all_checks(tables: Warehouse) -> DataFrame:
         for kind, checks in {"unique": unique_checks, "relationships": relationship_checks}.items()
     ]
     return quality.union_rows([*by_row, *by_key])
+
+
+def grain_checks(tables: Warehouse) -> DataFrame:
+    """What the tables rely on without declaring it: numeric airport ids, one row per carrier, route and month."""
+    return quality.union_rows(
+        [
+            quality.numeric("raw_airports", tables.raw_airports, "Code"),
+            quality.unique("route_stats", tables.route_stats, "carrier_code", "route_key", "month_start"),
+        ]
+    )

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from helpers import airlines, airports, by, raw_flight, raw_flights
+from helpers import airlines, airports, by, lookup, raw_flight, raw_flights
 
 from tarmac.operators import quality
 from tarmac.plans import declared_checks
@@ -55,3 +55,11 @@ def test_all_checks_over_a_small_warehouse(spark):
     assert len(found) == 139
     failures = {k: r["failures"] for k, r in found.items() if r["status"] != "PASS"}
     assert failures == {("relationships", "stg_flights", "origin_airport_id"): 1}
+
+
+def test_grain_checks_report_what_is_taken_for_granted(spark):
+    letters = airports(spark).unionByName(lookup(spark, [("ABC", "Letters, TX: L"), (None, "None, TX: N")]))
+    rows = [raw_flight(), raw_flight(OP_CARRIER_FL_NUM=2, DISTANCE=100.0)]
+    w = Warehouse(raw_flights(spark, rows), airlines(spark), letters, AS_OF)
+    found = by(declared_checks.grain_checks(w), "table_name")
+    assert (found["raw_airports"]["failures"], found["route_stats"]["failures"]) == (1, 1)
