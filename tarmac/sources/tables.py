@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,20 +19,11 @@ def layer_path(root: str, table: str, layer: str | None = None) -> str:
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate results that every executor can reach.
 
-    The session's ``spark.checkpoint.dir`` where it is set. Only a local session
-    may do without: there a temporary folder is shared by definition.
+    The session's ``spark.checkpoint.dir``, or a folder in its warehouse where
+    that is unset.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return _local_folder(spark.sparkContext.applicationId)
-
-
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"tarmac-{application}-")
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
