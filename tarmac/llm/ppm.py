@@ -24,8 +24,8 @@ from tarmac.llm.common import bounded_sample, byte_buffers, slices, with_columns
 ORDER = 3
 UNKNOWN = "und"
 #: Bounds of the labelled sample, per language.
-MAX_ROWS = 1500
-MAX_BYTES = 4_000_000
+MAX_ROWS = 1000
+MAX_BYTES = 1_500_000
 MAX_LANGUAGES = 200
 
 
@@ -68,6 +68,10 @@ def _with_escape(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     return np.where(seen == 0, shorter, np.where(counts > 0, own, shorter + escape))
 
 
+def _triples(codes: np.ndarray, width: int) -> np.ndarray:
+    return (codes[:-3] * width + codes[1:-2]) * width + codes[2:-1]
+
+
 def train(samples: dict[str, list[bytes]]) -> ContextTrees:
     """Context trees of each language's texts. Languages without any byte of text are left out."""
     languages = sorted(lang for lang, texts in samples.items() if any(texts))
@@ -83,20 +87,15 @@ def train(samples: dict[str, list[bytes]]) -> ContextTrees:
     coded = {}
     for lang in languages:
         parts = [y for x in samples[lang] for y in (blank, np.frombuffer(x, np.uint8))]
-        coded[lang] = classes[np.concatenate(parts)]
-    triples = {}
-    for lang, codes in coded.items():
-        pair = codes[:-3] * width + codes[1:-2]
-        triples[lang] = (pair * width + codes[2:-1], codes[3:])
-    seen = np.unique(np.concatenate([key for key, _ in triples.values()]))
+        coded[lang] = classes[np.concatenate(parts)].astype(np.int32)
+    seen = np.unique(np.concatenate([np.unique(_triples(codes, width)) for codes in coded.values()]))
     contexts = np.arange(width**3, dtype=np.int32) % (width * width)  # an unseen triple falls to its last two
     contexts[seen] = width * width + np.arange(len(seen), dtype=np.int32)
     bits = np.empty(((width * width + len(seen)), width, len(languages)), np.float32)
     for k, lang in enumerate(languages):
         shorter = _dense_bits(coded[lang], width, unseen)
-        key, symbol = triples[lang]
-        where = np.searchsorted(seen, key)
-        counts = np.bincount(where * width + symbol, minlength=len(seen) * width).reshape(-1, width)
+        where = np.searchsorted(seen, _triples(coded[lang], width))
+        counts = np.bincount(where * width + coded[lang][3:], minlength=len(seen) * width).reshape(-1, width)
         bits[: width * width, :, k] = shorter
         bits[width * width :, :, k] = _with_escape(counts.astype(np.float64), shorter[seen % (width * width)])
     return ContextTrees(languages, classes, contexts, bits.reshape(-1, len(languages)))
