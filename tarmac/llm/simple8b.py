@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import Remembered, per_process, with_columns_from_text, written
+from tarmac.llm.common import Remembered, per_process
 from tarmac.sources.tables import fresh_folder
 
 DATA_BITS = 60
@@ -30,7 +30,9 @@ COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1], np.int
 WIDTHS = DATA_BITS // COUNTS
 LAST_SELECTOR = 14
 BLOCK_IDS = 1 << 16
-PART_BYTES = 32 << 20
+RANGE_ROWS = 8192
+MOST_RANGES = 20_000
+BATCH_DOCS = 64
 #: Chunks remembered in each of two generations.
 KNOWN_CHUNKS = 400_000
 MAGIC = b"S8BLOCK1"
@@ -38,8 +40,10 @@ MAGIC = b"S8BLOCK1"
 # The blanks of Unicode's White_Space property. Byte-level BPE parts text before each single space or line feed
 # that stands between other characters, so a text without neighbouring blanks falls into independent chunks there.
 _BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_NEIGHBOURS = re.compile(f"[{_BLANK}][{_BLANK}]|^[{_BLANK}]|[{_BLANK}]$")
+_ODD_BLANK = re.compile(r"[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CHUNK = re.compile(f" ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
+# after a letter or digit, a comma or full stop stands apart from it and from the blank that follows
+_JOINED_MARK = re.compile(r"[^A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\u024f][.,]|^[.,]")
 
 
 def encode_words(values: np.ndarray, offsets: np.ndarray | None = None) -> tuple[list[np.ndarray], list[int]]:
@@ -83,8 +87,10 @@ def encode_words(values: np.ndarray, offsets: np.ndarray | None = None) -> tuple
             doc = np.searchsorted(heads, begun[of], "right") - 1
             words[of] |= (np.searchsorted(wide, begun[of]) - np.searchsorted(wide, heads[doc])).astype(np.uint64)
             continue
+        at, data = begun[of], words[of]
         for k in range(int(COUNTS[s])):
-            words[of] |= padded[begun[of] + k] << np.uint64(k * int(WIDTHS[s]))
+            data |= padded[at + k] << np.uint64(k * int(WIDTHS[s]))
+        words[of] = data
     parts = np.split(words, ends[:-1]) if ends else []
     if not len(wide):
         return parts, [0] * len(parts)
@@ -100,9 +106,9 @@ def _decode_packed(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     out = np.zeros(int(starts[-1]), np.uint64)
     for s in np.unique(selectors):
         of = np.flatnonzero(selectors == s)
-        mask = np.uint64((1 << int(WIDTHS[s])) - 1)
+        at, data, mask = starts[of], packed[of], np.uint64((1 << int(WIDTHS[s])) - 1)
         for k in range(int(COUNTS[s])):
-            out[starts[of] + k] = (packed[of] >> np.uint64(k * int(WIDTHS[s]))) & mask
+            out[at + k] = (data >> np.uint64(k * int(WIDTHS[s]))) & mask
     return out, starts
 
 
@@ -159,9 +165,14 @@ def _chunk_text(key: str) -> str:
 
 def chunk_keys(text: str) -> list[str]:
     """Keys of the chunks whose ids, in a row, are the ids of the text. `\\r` marks a chunk that stands as it is."""
-    if _NEIGHBOURS.search(text):
+    if not text:
+        return []
+    blanks = "  " in text or " \n" in text or "\n " in text or "\n\n" in text
+    if blanks or text[0] in " \n" or text[-1] in " \n" or _ODD_BLANK.search(text):
         return ["\r" + c for c in _CHUNK.findall(text)]
-    return ("\r" + text).replace("\n", " \n").split(" ") if text else []
+    if not _JOINED_MARK.search(text):
+        text = text.replace(", ", " \r, ").replace(". ", " \r. ").replace(".\n", " \r.\n")
+    return ("\r" + text).replace("\n", " \n").split(" ")
 
 
 def token_bytes(path: str, texts: list[str | None]) -> list[bytes]:
@@ -188,38 +199,12 @@ def token_bytes(path: str, texts: list[str | None]) -> list[bytes]:
     return out
 
 
-def encoded(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
-    """Rows (doc_id, n_ids, raws, words): each document's ids with the end id, as Simple-8b words."""
-
-    def run(column: pa.Array) -> list[pa.Array]:
-        end = np.uint32(end_id).astype("<u4").tobytes()
-        sizes, raws, words = [], [], []
-        for at in range(0, len(column), 64):
-            data = [x + end for x in token_bytes(tokenizer, column.slice(at, 64).to_pylist())]
-            own = [len(x) // 4 for x in data]
-            coded, raw = encode_words(np.frombuffer(b"".join(data), "<u4"), np.append(0, np.cumsum(own)))
-            sizes += own
-            raws += raw
-            words += [x.astype("<u8").tobytes() for x in coded]
-        return [pa.array(sizes, pa.int64()), pa.array(raws, pa.int64()), pa.array(words, pa.binary())]
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text))
-    return with_columns_from_text(rows, text, {"n_ids": "bigint", "raws": "bigint", "words": "binary"}, run)
-
-
-def write_files(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 0) -> None:
-    """Encode all documents and write them as block files in ascending id order, null ids first.
-
-    Ties are ordered by a hash of their ids' words. Each file holds a range of ids; a block
-    also keeps how many ids of its range come before it, so starts need no pass over the data.
-    """
-    rows = written(encoded(docs, tokenizer, doc_id, text, end_id).withColumn("tie", F.xxhash64("words")), "ids")
-    total = rows.agg(F.sum(F.length("words"))).first()[0] or 0
-    parts = max(1, math.ceil(total / PART_BYTES))
-    ranged = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+def _packed_ranges(tokenizer: str, end_id: int):
+    """Encodes the sorted rows of a range and packs them into blocks as they come."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("before", pa.int64()), ("n_ids", pa.int64()), ("data", pa.binary())])
+        end = np.uint32(end_id).astype("<u4").tobytes()
         held: list[tuple[int | None, int, int, bytes]] = []
         part, block, before, own = 0, 0, 0, 0
 
@@ -227,19 +212,37 @@ def write_files(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_i
             return pa.RecordBatch.from_pylist([{"part": part, "block": block, "before": before, "n_ids": own, "data": pack_block(held)}], schema)
 
         for batch in batches:
-            for row in batch.to_pylist():
-                part = row["part"]
-                held.append((row["doc_id"], row["n_ids"], row["raws"], row["words"]))
-                own += row["n_ids"]
-                if own >= BLOCK_IDS:
-                    yield close()
-                    block, before, own = block + 1, before + own, 0
-                    held.clear()
+            for at in range(0, batch.num_rows, BATCH_DOCS):
+                rows = batch.slice(at, BATCH_DOCS)
+                part = rows.column("part")[0].as_py()
+                data = [x + end for x in token_bytes(tokenizer, rows.column("text").to_pylist())]
+                sizes = [len(x) // 4 for x in data]
+                coded, raws = encode_words(np.frombuffer(b"".join(data), "<u4"), np.append(0, np.cumsum(sizes)))
+                for doc_id, size, raw, words in zip(rows.column("doc_id").to_pylist(), sizes, raws, coded, strict=True):
+                    held.append((doc_id, size, raw, words.astype("<u8").tobytes()))
+                    own += size
+                    if own >= BLOCK_IDS:
+                        yield close()
+                        block, before, own = block + 1, before + own, 0
+                        held.clear()
         if held:
             yield close()
 
-    blocks = ranged.select(F.spark_partition_id().alias("part"), "doc_id", "n_ids", "raws", "words").mapInArrow(
-        run, "part int, block bigint, before bigint, n_ids bigint, data binary"
+    return run
+
+
+def write_files(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 0) -> None:
+    """Encode all documents and write them as block files in ascending id order, null ids first.
+
+    Texts are dealt by ranges of ids, ties by a hash of the text, so that one id may
+    span ranges; each range is encoded in order as it is read. A block
+    also keeps how many ids of its range come before it, so starts need no pass over the data.
+    """
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("tie", F.xxhash64("text"))
+    ranges = min(MOST_RANGES, max(1, math.ceil(docs.select(doc_id).count() / RANGE_ROWS)))
+    ranged = rows.repartitionByRange(ranges, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    blocks = ranged.select(F.spark_partition_id().alias("part"), "doc_id", "text").mapInArrow(
+        _packed_ranges(tokenizer, end_id), "part int, block bigint, before bigint, n_ids bigint, data binary"
     )
     blocks.write.parquet(path)
 
