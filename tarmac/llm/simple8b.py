@@ -34,7 +34,7 @@ RANGE_ROWS = 8192
 MOST_RANGES = 20_000
 BATCH_DOCS = 64
 #: Chunks remembered in each of two generations.
-KNOWN_CHUNKS = 400_000
+KNOWN_CHUNKS = 250_000
 MAGIC = b"S8BLOCK1"
 
 # The blanks of Unicode's White_Space property. Byte-level BPE parts text before each single space or line feed
