@@ -58,7 +58,7 @@ def targets(sizes: list[int], weights: list[float], most: float = MOST_REPEATS)
     while not all(capped):
         left = total - sum(most * s for s, c in zip(sizes, capped, strict=True) if c)
         weight = sum(w for w, c in zip(weights, capped, strict=True) if not c)
-        out = [most * s if c else left * w / weight for s, w, c in zip(sizes, weights, capped, strict=True)]
+        out = [float(most * s) if c else left * w / weight for s, w, c in zip(sizes, weights, capped, strict=True)]
         over = [not c and t > most * s for s, t, c in zip(sizes, out, capped, strict=True)]
         if not any(over):
             return out

@@ -77,10 +77,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 OP1_SQL = """
 WITH RECURSIVE usable AS (
-    SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, x -> x <> 0)) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), linked AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
     ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
@@ -99,9 +99,9 @@ FROM embeddings e LEFT JOIN least ON least.a = e.vec_id LEFT JOIN counted ON cou
 
 OP8_SQL = """
 WITH whole AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
     WHERE embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
     FROM whole q JOIN whole d ON q.vec_id <> d.vec_id AND len(q.v) = len(d.v) WHERE q.vec_id % 50 = 0
