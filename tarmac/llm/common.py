@@ -108,16 +108,20 @@ def byte_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def with_columns_from_text(
     docs: DataFrame, text: str, added: dict[str, str], run: Callable[[pa.Array], list[pa.Array]]
 ) -> DataFrame:
-    """The other columns as they are, and those that ``run`` makes of the text column, batch by batch."""
+    """The other columns as they are, and those that ``run`` makes of the text column, a few megabytes at a time."""
     rest = [c for c in docs.columns if c != text and c not in added]
     fields = ", ".join(
         [*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest), *(f"{c} {kind}" for c, kind in added.items())]
     )
 
     def on_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [*batch.columns[:-1], *run(batch.column(batch.num_columns - 1))]
-            yield pa.RecordBatch.from_arrays(columns, [*rest, *added])
+        for whole in batches:
+            texts = whole.column(whole.num_columns - 1)
+            ranges = slices(byte_buffers(texts)[1], 4 * SLICE_BYTES) if pa.types.is_string(texts.type) else [(0, len(texts))]
+            for first, last in ranges:
+                batch = whole.slice(first, last - first)
+                columns = [*batch.columns[:-1], *run(batch.column(batch.num_columns - 1))]
+                yield pa.RecordBatch.from_arrays(columns, [*rest, *added])
 
     return docs.select(*(docs[c] for c in rest), docs[text]).mapInArrow(on_batches, fields)
 

@@ -26,10 +26,10 @@ from tarmac.llm.common import Remembered, per_process, with_columns_from_text
 
 SPACE = "▁"
 NO_EDGE = np.iinfo(np.int32).max
-BATCH_CHARS = 1 << 18
+BATCH_CHARS = 1 << 17
 LONG_WORD = 256
 #: Words remembered in each of two generations.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 100_000
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 
 
