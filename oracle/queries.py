@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.tables import CAUSES, TABLES, over_tables, pct, r
+from oracle.tables import CAUSES, PHASE, TABLES, over_tables, pct, r
 from tarmac.plans.declared_checks import ACCEPTED, NOT_NULL, RELATIONSHIPS, UNIQUE
 from tarmac.schemas import FLIGHT_FILE_COLUMNS, RAW_FLIGHT_COLUMNS
 
@@ -80,7 +80,7 @@ MODELS = {name: _table(name) for name in _ISO} | {
             {', '.join(f"{pct(f'sum({c}_delay_minutes)', 'sum(total_cause_minutes)')} as {c}_contribution_pct"
                        for c in ('carrier', 'weather', 'nas', 'late_aircraft'))},
             count(*) filter (not is_cancelled) as operated_flights
-        from flights_enriched group by flight_year, covid_period
+        from (select *, {PHASE.format(d='flight_date')} as covid_period from stg_flights) group by flight_year, covid_period
     """,
     "route_stats_null_volume": """
         select total_operated_flights, count(*) as total_rows
@@ -114,8 +114,8 @@ LANDING = {
             using (filed)
     """,
     "load_lookups": """
-        select Code, Description || ' é' as Description, _source_file from raw_airlines
-        union all select Code, Description || ' é', _source_file from raw_airports
+        select Code, Description || ' "é"' as Description, _source_file from raw_airlines
+        union all select Code, Description || ' "é"', _source_file from raw_airports
     """,
     "file_month_check": f"""
         select
@@ -401,18 +401,18 @@ _LATE = r("avg(arr_delay_minutes) filter (arr_delay_minutes > 15)")
 _CANCELLED = pct("count(*) filter (is_cancelled)", "count(*)")
 
 KPIS = {
-    "kpi_on_time_rate": f"select {_ON_TIME} as on_time_rate_pct, {_ON_TIME} >= 80 as meets_target from flights_enriched",
-    "kpi_avg_arr_delay": f"select {_LATE} as avg_arr_delay_min, {_LATE} <= 45 as meets_target from flights_enriched",
-    "kpi_cancel_rate": f"select {_CANCELLED} as cancel_rate_pct, {_CANCELLED} <= 2 as meets_target from flights_enriched",
+    "kpi_on_time_rate": f"select {_ON_TIME} as on_time_rate_pct, {_ON_TIME} >= 80 as meets_target from stg_flights",
+    "kpi_avg_arr_delay": f"select {_LATE} as avg_arr_delay_min, {_LATE} <= 45 as meets_target from stg_flights",
+    "kpi_cancel_rate": f"select {_CANCELLED} as cancel_rate_pct, {_CANCELLED} <= 2 as meets_target from stg_flights",
     "kpi_cause_contribution": "select "
     + ", ".join(
         f"{pct(f'sum({c}_delay_minutes)', 'sum(total_cause_minutes)')} as {c}_contribution_pct"
         for c in ("carrier", "weather", "nas", "late_aircraft")
     )
-    + " from flights_enriched",
+    + " from stg_flights",
     "kpi_monthly_volume": """
         select flight_year, flight_month, count(*) as operated_flights
-        from flights_enriched where not is_cancelled group by flight_year, flight_month
+        from stg_flights where not is_cancelled group by flight_year, flight_month
     """,
 }
 
@@ -425,7 +425,7 @@ QUESTIONS = {
             from (
                 select carrier_code, flight_year,
                     {pct('count(*) filter (is_on_time)', 'count(arr_delay_minutes)')} as otp
-                from operated group by carrier_code, flight_year
+                from stg_flights where not is_cancelled group by carrier_code, flight_year
             )
         )
         group by carrier_code
@@ -439,7 +439,7 @@ QUESTIONS = {
                 select carrier_code, count(*) filter (is_on_time) as k, count(arr_delay_minutes) as n,
                     cast(sum(count(*) filter (is_on_time)) over () as bigint) as kk,
                     cast(sum(count(arr_delay_minutes)) over () as bigint) as nn
-                from operated group by carrier_code
+                from stg_flights where not is_cancelled group by carrier_code
             )
         )
     """,
@@ -449,14 +449,14 @@ QUESTIONS = {
             select origin_airport_code, count(arr_delay_minutes) as arrivals,
                 count(*) filter (is_arr_delayed) as delayed,
                 {pct('count(*) filter (is_arr_delayed)', 'count(arr_delay_minutes)')} as delay_rate_pct
-            from operated group by origin_airport_code
+            from stg_flights where not is_cancelled group by origin_airport_code
         )
     """,
     "seasonality": f"""
         select flight_month, flight_day_of_week, count(arr_delay_minutes) as arrivals,
             {pct('count(*) filter (is_arr_delayed)', 'count(arr_delay_minutes)')} as delay_rate_pct,
             {r('avg(arr_delay_minutes)')} as mean_delay_min
-        from operated group by rollup (flight_month, flight_day_of_week)
+        from stg_flights where not is_cancelled group by rollup (flight_month, flight_day_of_week)
     """,
     "volume_delay_corr": f"""
         select count(rate) as route_months, {r('corr(total_operated_flights, rate)', 6)} as correlation

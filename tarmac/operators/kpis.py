@@ -31,10 +31,10 @@ def _cause_shares() -> list[Column]:
     return [percent(F.sum(f"{c}_delay_minutes"), total).alias(f"{c}_contribution_pct") for c in TRACKED_CAUSES]
 
 
-def executive_kpis(enriched: DataFrame) -> DataFrame:
+def executive_kpis(flights: DataFrame) -> DataFrame:
     """Punctuality, cancellations, mean delay, cause shares and volume per year and COVID phase."""
     on_time = F.count_if(_operated() & F.col("is_on_time"))
-    return enriched.groupBy("flight_year", "covid_period").agg(
+    return flights.groupBy("flight_year", "covid_period").agg(
         percent(on_time, F.count_if(_operated())).alias("otp_rate_pct"),
         percent(F.count_if("is_cancelled"), _rows()).alias("cancel_rate_pct"),
         _mean_late().alias("avg_arr_delay_min"),
@@ -43,31 +43,31 @@ def executive_kpis(enriched: DataFrame) -> DataFrame:
     )
 
 
-def on_time_rate(enriched: DataFrame) -> DataFrame:
+def on_time_rate(flights: DataFrame) -> DataFrame:
     """Share of operated flights at most 15 minutes late."""
     punctual = F.count_if(_operated() & (F.col("arr_delay_minutes") <= PUNCTUAL_MINUTES))
     rate = percent(punctual, F.count_if(_operated()))
-    return enriched.agg(rate.alias("on_time_rate_pct"), (rate >= ON_TIME_TARGET).alias("meets_target"))
+    return flights.agg(rate.alias("on_time_rate_pct"), (rate >= ON_TIME_TARGET).alias("meets_target"))
 
 
-def avg_arr_delay(enriched: DataFrame) -> DataFrame:
+def avg_arr_delay(flights: DataFrame) -> DataFrame:
     """Mean arrival delay of the flights more than 15 minutes late."""
-    return enriched.agg(
+    return flights.agg(
         _mean_late().alias("avg_arr_delay_min"), (_mean_late() <= MEAN_DELAY_TARGET).alias("meets_target")
     )
 
 
-def cancel_rate(enriched: DataFrame) -> DataFrame:
+def cancel_rate(flights: DataFrame) -> DataFrame:
     rate = percent(F.count_if("is_cancelled"), _rows())
-    return enriched.agg(rate.alias("cancel_rate_pct"), (rate <= CANCEL_TARGET).alias("meets_target"))
+    return flights.agg(rate.alias("cancel_rate_pct"), (rate <= CANCEL_TARGET).alias("meets_target"))
 
 
-def cause_contribution(enriched: DataFrame) -> DataFrame:
+def cause_contribution(flights: DataFrame) -> DataFrame:
     """Minutes of each tracked cause as a share of all recorded delay minutes."""
-    return enriched.agg(*_cause_shares())
+    return flights.agg(*_cause_shares())
 
 
-def monthly_volume(enriched: DataFrame) -> DataFrame:
+def monthly_volume(flights: DataFrame) -> DataFrame:
     """Operated flights per month."""
-    return enriched.filter(_operated()).groupBy("flight_year", "flight_month").agg(_rows().alias("operated_flights"))
+    return flights.filter(_operated()).groupBy("flight_year", "flight_month").agg(_rows().alias("operated_flights"))
 

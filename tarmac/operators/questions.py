@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from tarmac.functions.numbers import percent, safe_divide
 
 
-def _punctuality(enriched: DataFrame, *keys) -> DataFrame:
+def _punctuality(flights: DataFrame, *keys) -> DataFrame:
     """On-time and valid arrivals of operated flights per key."""
     return (
-        enriched.filter(~F.col("is_cancelled"))
+        flights.filter(~F.col("is_cancelled"))
         .groupBy(*keys)
         .agg(
             F.count_if("is_on_time").alias("on_time"),
@@ -21,9 +21,9 @@ def _punctuality(enriched: DataFrame, *keys) -> DataFrame:
     )
 
 
-def carrier_consistency(enriched: DataFrame) -> DataFrame:
+def carrier_consistency(flights: DataFrame) -> DataFrame:
     """How each carrier ranks by yearly on-time rate: mean, spread, best and worst rank."""
-    yearly = _punctuality(enriched, "carrier_code", "flight_year").withColumn(
+    yearly = _punctuality(flights, "carrier_code", "flight_year").withColumn(
         "otp", percent(F.col("on_time"), F.col("arrivals"))
     )
     best_first = Window.partitionBy("flight_year").orderBy(F.desc_nulls_last("otp"))
@@ -38,13 +38,13 @@ def carrier_consistency(enriched: DataFrame) -> DataFrame:
     )
 
 
-def carrier_significance(enriched: DataFrame, critical_z: float = 1.96) -> DataFrame:
+def carrier_significance(flights: DataFrame, critical_z: float = 1.96) -> DataFrame:
     """Two-proportion z-test of each carrier's on-time rate against all other carriers.
 
     Every carrier is compared with the rest of the industry rather than with
     every other carrier, so the work is one row per carrier.
     """
-    carriers = _punctuality(enriched, "carrier_code")
+    carriers = _punctuality(flights, "carrier_code")
     everyone = carriers.agg(
         F.struct(F.sum("on_time").alias("on_time"), F.sum("arrivals").alias("arrivals")).alias("t")
     )
@@ -65,31 +65,30 @@ def carrier_significance(enriched: DataFrame, critical_z: float = 1.96) -> DataF
     )
 
 
-def origin_delay_rank(enriched: DataFrame) -> DataFrame:
+def origin_delay_rank(flights: DataFrame) -> DataFrame:
     """Origin airports by the share of their flights that arrive late, worst first.
 
-    The ranking runs over one row per airport.
+    Rates have two decimals, so the ranking runs over at most 10,001 of them and the
+    airports take their rate's rank.
     """
-    origins = _punctuality(enriched, "origin_airport_code").withColumn(
+    origins = _punctuality(flights, "origin_airport_code").withColumn(
         "delay_rate_pct", percent(F.col("delayed"), F.col("arrivals"))
     )
-    worst_first = Window.orderBy(F.desc_nulls_last("delay_rate_pct"))
-    return origins.select(
-        "origin_airport_code",
-        "arrivals",
-        "delayed",
-        "delay_rate_pct",
-        F.rank().over(worst_first).cast("long").alias("delay_rank"),
+    rates = origins.groupBy(F.col("delay_rate_pct").alias("rate")).agg(F.count(F.lit(1)).alias("airports"))
+    worse = Window.orderBy(F.desc_nulls_last("rate")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = rates.select("rate", (F.coalesce(F.sum("airports").over(worse), F.lit(0)) + 1).cast("long").alias("delay_rank"))
+    return origins.join(ranks, F.col("delay_rate_pct").eqNullSafe(F.col("rate"))).select(
+        "origin_airport_code", "arrivals", "delayed", "delay_rate_pct", "delay_rank"
     )
 
 
-def seasonality(enriched: DataFrame) -> DataFrame:
+def seasonality(flights: DataFrame) -> DataFrame:
     """Delay rate and mean delay by month and weekday, with subtotals per month and overall.
 
     The rollup runs over the at most 84 month-weekday rows, not over flights.
     """
     cells = (
-        enriched.filter(~F.col("is_cancelled"))
+        flights.filter(~F.col("is_cancelled"))
         .groupBy("flight_month", "flight_day_of_week")
         .agg(
             F.count_if("is_arr_delayed").alias("delayed"),

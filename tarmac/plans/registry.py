@@ -61,6 +61,7 @@ def land_flights(raw: DataFrame, on_time: bool = True) -> str:
             .write.mode("append")
             .partitionBy("file")
             .option("header", "true")
+            .option("escape", '"')
             .csv(folder)
         )
     return folder
@@ -96,7 +97,7 @@ def load_append(w: Warehouse) -> DataFrame:
 
 def load_reconcile(w: Warehouse) -> DataFrame:
     table = fresh_folder(w.spark, "raw-flights")
-    return landing.load_months(w.spark, land_flights(w.raw_flights, on_time=False), table, LOADED_AT).drop("error")
+    return landing.load_months(w.spark, land_flights(w.raw_flights, on_time=False), table, LOADED_AT).drop("error", "uploaded_at")
 
 
 def load_lookups(w: Warehouse) -> DataFrame:
@@ -107,9 +108,9 @@ def load_lookups(w: Warehouse) -> DataFrame:
         ("L_AIRLINE_ID.csv", w.raw_airlines, "UTF-8"),
         ("L_AIRPORT.csv", w.raw_airports, "ISO-8859-1"),
     ):
-        accented = F.concat("Description", F.lit(" é"))
+        accented = F.concat("Description", F.lit(' "é"'))
         rows = table.select("Code", accented.alias("Description"), F.lit(1).alias("Unused"))
-        rows.write.option("header", "true").option("encoding", encoding).csv(f"{folder}/{name}")
+        rows.write.option("header", "true").option("escape", '"').option("encoding", encoding).csv(f"{folder}/{name}")
         loads.append(landing.load_lookup(w.spark, f"{folder}/{name}", f"{folder}/loaded-{name}", LOADED_AT))
     return loads[0].unionByName(loads[1]).select("Code", "Description", "_source_file")
 
@@ -200,18 +201,18 @@ PROFILING: dict[str, WarehouseQuery] = {
 }
 
 KPIS: dict[str, WarehouseQuery] = {
-    "kpi_on_time_rate": lambda w: kpis.on_time_rate(w.flights_enriched),
-    "kpi_avg_arr_delay": lambda w: kpis.avg_arr_delay(w.flights_enriched),
-    "kpi_cancel_rate": lambda w: kpis.cancel_rate(w.flights_enriched),
-    "kpi_cause_contribution": lambda w: kpis.cause_contribution(w.flights_enriched),
-    "kpi_monthly_volume": lambda w: kpis.monthly_volume(w.flights_enriched),
+    "kpi_on_time_rate": lambda w: kpis.on_time_rate(w.reported_flights),
+    "kpi_avg_arr_delay": lambda w: kpis.avg_arr_delay(w.reported_flights),
+    "kpi_cancel_rate": lambda w: kpis.cancel_rate(w.reported_flights),
+    "kpi_cause_contribution": lambda w: kpis.cause_contribution(w.reported_flights),
+    "kpi_monthly_volume": lambda w: kpis.monthly_volume(w.reported_flights),
 }
 
 QUESTIONS: dict[str, WarehouseQuery] = {
-    "carrier_consistency": lambda w: questions.carrier_consistency(w.flights_enriched),
-    "carrier_significance": lambda w: questions.carrier_significance(w.flights_enriched),
-    "origin_delay_rank": lambda w: questions.origin_delay_rank(w.flights_enriched),
-    "seasonality": lambda w: questions.seasonality(w.flights_enriched),
+    "carrier_consistency": lambda w: questions.carrier_consistency(w.reported_flights),
+    "carrier_significance": lambda w: questions.carrier_significance(w.reported_flights),
+    "origin_delay_rank": lambda w: questions.origin_delay_rank(w.reported_flights),
+    "seasonality": lambda w: questions.seasonality(w.reported_flights),
     "volume_delay_corr": lambda w: questions.volume_delay_corr(w.route_month_stats),
     "otp_projection": lambda w: questions.otp_projection(
         profiling.monthly_otp_trend(w.raw_flights), since=(2020, 7)
