@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -18,6 +20,8 @@ from tarmac.sources.tables import fresh_folder
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 SLICE_BYTES = 1 << 20
+BATCH_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +109,13 @@ def byte_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
+def _hand_back() -> None:
+    """Return freed memory to the system, since Python workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def with_columns_from_text(
     docs: DataFrame, text: str, added: dict[str, str], run: Callable[[pa.Array], list[pa.Array]]
 ) -> DataFrame:
@@ -122,6 +133,11 @@ def with_columns_from_text(
                 batch = whole.slice(first, last - first)
                 columns = [*batch.columns[:-1], *run(batch.column(batch.num_columns - 1))]
                 yield pa.RecordBatch.from_arrays(columns, [*rest, *added])
+        _hand_back()
+
+    # texts are long: the usual 10,000 rows would make batches of tens of megabytes in either process
+    if int(docs.sparkSession.conf.get(BATCH_ROWS_KEY)) > BATCH_ROWS:
+        docs.sparkSession.conf.set(BATCH_ROWS_KEY, str(BATCH_ROWS))
 
     return docs.select(*(docs[c] for c in rest), docs[text]).mapInArrow(on_batches, fields)
 

@@ -29,7 +29,7 @@ NO_EDGE = np.iinfo(np.int32).max
 BATCH_CHARS = 1 << 17
 LONG_WORD = 256
 #: Words remembered in each of two generations.
-KNOWN_WORDS = 100_000
+KNOWN_WORDS = 60_000
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 
 
