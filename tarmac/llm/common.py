@@ -109,8 +109,8 @@ def byte_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def _hand_back() -> None:
-    """Return freed memory to the system, since Python workers live on after a task."""
+def hand_back() -> None:
+    """Return freed memory to the system: Python workers live on after a task, the driver after a training."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only glibc has it
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -133,7 +133,7 @@ def with_columns_from_text(
                 batch = whole.slice(first, last - first)
                 columns = [*batch.columns[:-1], *run(batch.column(batch.num_columns - 1))]
                 yield pa.RecordBatch.from_arrays(columns, [*rest, *added])
-        _hand_back()
+        hand_back()
 
     # texts are long: the usual 10,000 rows would make batches of tens of megabytes in either process
     if int(docs.sparkSession.conf.get(BATCH_ROWS_KEY)) > BATCH_ROWS:

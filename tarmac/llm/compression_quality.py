@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import bounded_sample, byte_buffers, label_keys, with_columns_from_text
+from tarmac.llm.common import bounded_sample, byte_buffers, hand_back, label_keys, with_columns_from_text
 
 DICTIONARY_BYTES = 64 * 1024
 PIECE = 8 * 1024
@@ -120,7 +120,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
     ones, all_ = keys.agg(F.sum("stratum"), F.count("stratum")).first()
     share = ones / all_ if all_ else 0.0
     taken = bounded_sample(keys, docs.select(doc_id, text), doc_id, text, max_rows // 2, max_bytes // 2)
-    return train([r[text].encode() for r in taken], [r["stratum"] for r in taken], share), share
+    model = train([r[text].encode() for r in taken], [r["stratum"] for r in taken], share)
+    del taken
+    hand_back()
+    return model, share
 
 
 def assess(docs: DataFrame, model: CompressionScore | None, prior: float, text: str = "text") -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import bounded_sample, byte_buffers, slices, with_columns_from_text
+from tarmac.llm.common import bounded_sample, byte_buffers, hand_back, slices, with_columns_from_text
 
 ORDER = 3
 UNKNOWN = "und"
@@ -163,7 +163,10 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     samples: dict[str, list[bytes]] = {}
     for row in bounded_sample(keys, docs.select(doc_id, text), doc_id, text, max_rows, max_bytes):
         samples.setdefault(row["stratum"], []).append(row[text].encode())
-    return train(samples)
+    model = train(samples)
+    samples.clear()
+    hand_back()
+    return model
 
 
 def identify(docs: DataFrame, model: ContextTrees, text: str = "text") -> DataFrame:
