@@ -16,11 +16,11 @@ from tarmac.sources.tables import layer_path, overwrite_table, write_monthly, wr
 # table -> (layer, month column, clustering columns); tables without a month are written whole
 MONTHLY_TABLES = {
     "flights_enriched": ("intermediate", "flight_date", ["carrier_code", "origin_airport_code"]),
+    "delay_classified": ("intermediate", "flight_date", ["carrier_code", "origin_airport_code"]),
     "fact_flights": ("marts", "flight_date", ["carrier_id", "origin_airport_id"]),
     "fact_route_monthly": ("marts", "flight_month_date", ["carrier_code"]),
 }
 WHOLE_TABLES = {
-    "delay_classified": "intermediate",
     "route_stats": "intermediate",
     "dim_date": "marts",
     "dim_carrier": "marts",
@@ -153,16 +153,18 @@ class Warehouse:
         return kpis.executive_kpis(self.reported_flights)
 
     def write(self, root: str) -> dict[str, str]:
-        """Write every table below ``root``; later tables read the written earlier ones.
+        """Replace every table below ``root``; later tables read the written earlier ones.
 
-        Staging stays a view. Returns the folder of each table.
+        Months that are no longer in the flights leave the tables too. Staging stays a view. Returns the folder of each table.
         """
         paths = {}
         for name in WRITE_ORDER:
             if name in MONTHLY_TABLES:
                 layer, month, cluster_by = MONTHLY_TABLES[name]
                 path = layer_path(root, name, layer)
-                write_monthly(getattr(self, name), path, F.col(month), cluster_by, mode="overwrite")
+                write_monthly(
+                    getattr(self, name), path, F.col(month), cluster_by, mode="overwrite", keep_other_months=False
+                )
             else:
                 path = layer_path(root, name, WHOLE_TABLES[name])
                 overwrite_table(getattr(self, name), path)

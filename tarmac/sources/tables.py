@@ -52,20 +52,22 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_monthly(
-    df: DataFrame, path: str, month: Column, cluster_by: list[str], mode: str, partition: str = "flight_month_start"
+    df: DataFrame, path: str, month: Column, cluster_by: list[str], mode: str, partition: str = "flight_month_start",
+    keep_other_months: bool = True,
 ) -> None:
     """Write a table in monthly folders, rows inside a file ordered by the clustering columns.
 
     The rebalance hint gathers each month's rows and lets adaptive execution cut a
     month that is far larger than the others into several tasks and files. With
-    mode ``overwrite`` only the months present in ``df`` are replaced.
+    mode ``overwrite`` only the months present in ``df`` are replaced, or the whole
+    table without ``keep_other_months``.
     """
     (
         df.withColumn(partition, F.trunc(month, "month"))
         .hint("rebalance", F.col(partition))
         .sortWithinPartitions(partition, *cluster_by)
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if keep_other_months else "static")
         .partitionBy(partition)
         .parquet(path)
     )

@@ -60,5 +60,16 @@ def test_overwriting_months_leaves_the_others(spark, tmp_path):
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 3, 4]
 
 
+def test_a_rebuild_drops_months_that_left_the_flights(spark, tmp_path):
+    root = str(tmp_path)
+    whole = Warehouse.of_driver_tables(spark, SF_DIR, AS_OF)
+    whole.write(root)
+    recent = whole.raw_flights.filter(F.col("FL_DATE") >= dt.date(2021, 1, 1))
+    paths = Warehouse(recent, whole.raw_airlines, whole.raw_airports, AS_OF).write(root)
+    for name in ("flights_enriched", "delay_classified", "fact_flights"):
+        first = spark.read.parquet(paths[name]).agg(F.min("flight_month_start")).first()[0]
+        assert first == dt.date(2021, 1, 1), name
+
+
 def test_shared_folder_is_the_sessions(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
