@@ -9,8 +9,10 @@ Candidates are verified by the exact Jaccard similarity of their shingles.
 
 Buckets are not expanded into pairs. In each round, every bucket is compared with
 one centre, the member that shares most buckets with others; verified links are
-joined into classes. What a bucket still holds of different classes after the
-rounds is compared pair by pair, so no candidate pair is left out.
+joined into classes. Documents of buckets that still hold several classes after
+the rounds, such as those that share a passage without being alike, are compared
+where their rarest shingles allow the similarity (prefix and position bounds), so
+no similar candidate pair is left out and unlike ones are not listed.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,6 +171,42 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _ranked_shingles(reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (rep, component, size, shingle, at): each set's shingles, ``at`` counting from the rarest among all sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rep, component = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for k, x in enumerate(batch.column(2)):
+                own = np.frombuffer(x.as_buffer(), np.int64)
+                same = (np.full(len(own), v, np.int64) for v in (rep[k], component[k], len(own)))
+                yield pa.RecordBatch.from_arrays([*(pa.array(v) for v in same), pa.array(own)], ["rep", "component", "size", "shingle"])
+
+    chosen = sets.join(reps, "rep").select("rep", "component", "shingles")
+    rows = written(chosen.mapInArrow(run, "rep long, component long, size long, shingle long"), "leftover")
+    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"))
+    rank = F.row_number().over(Window.partitionBy("rep").orderBy("holders", "shingle"))
+    return rows.join(often, "shingle").withColumn("at", rank)
+
+
+def _possible_pairs(reps: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different components that can reach the threshold, every such pair that does among them.
+
+    Two sets of that similarity share a shingle among the rarest of each, and from
+    the first shared one on, both have enough shingles left for the overlap it takes.
+    """
+    prefix = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1
+    front = _ranked_shingles(reps, sets).filter((F.col("at") <= prefix) & (F.col("holders") > 1))
+    front = written(front.select("rep", "component", "size", "shingle", "at"), "front")
+    several = front.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    front = front.join(several.select("shingle"), "shingle")
+    a, b = (front.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "component", "size", "at"))) for side in "ab")
+    overlap = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b")) + 1
+    enough = overlap * (1 + threshold) >= (F.col("size_a") + F.col("size_b")) * threshold - 1e-9
+    apart = (F.col("component_a") != F.col("component_b")) & (F.col("rep_a") < F.col("rep_b"))
+    return a.join(b, "shingle").filter(apart & enough).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, class_id, kept.
 
@@ -215,8 +253,7 @@ def _linked(bands: DataFrame, rows: DataFrame, words: int, threshold: float) ->
             centre = centre.groupBy("bucket").agg(F.max_by("rep", first).alias("b"), F.max_by("component", first).alias("of_b"))
             pairs = open_.join(centre, "bucket").filter("component <> of_b").select(F.col("rep").alias("a"), "b")
         else:
-            other = open_.select("bucket", F.col("rep").alias("b"), F.col("component").alias("of_b"))
-            pairs = open_.join(other, "bucket").filter("component <> of_b and rep < b").select(F.col("rep").alias("a"), "b")
+            pairs = _possible_pairs(left.select("rep", "component").distinct(), sets, threshold)
         found = _verified(pairs.distinct(), sets, threshold)
         links = written(found if links is None else links.unionByName(found), "verified")
         classes = written(connected_components(links), "components")

@@ -199,6 +199,30 @@ def test_near_duplicates_of_odd_rows(spark):
     assert minhash.near_duplicates(empty_docs(spark)).count() == 0
 
 
+def test_possible_pairs_hold_all_similar_ones(spark):
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 1 << 40, 40)
+    sets = []
+    for k in range(120):
+        if k % 3 == 2:
+            own = list(sets[-1])  # a near copy of the one before
+            own[: rng.integers(0, 8)] = []
+        else:
+            own = [*passage[: rng.integers(20, 41)], *rng.integers(0, 1 << 40, rng.integers(0, 30))]
+        sets.append(sorted({int(x) for x in own}))
+    sets += [[7], [7], sets[0]]
+    blobs = [(k, np.array(x, np.uint64).tobytes()) for k, x in enumerate(sets)]
+    similar = {
+        (a, b) for b in range(len(sets)) for a in range(b)
+        if a % 5 != b % 5 and minhash.jaccard(pa.scalar(blobs[a][1]).as_buffer(), pa.scalar(blobs[b][1]).as_buffer()) >= 0.8
+    }
+    reps = spark.createDataFrame([(k, k % 5) for k in range(len(sets))], "rep long, component long")
+    got = minhash._possible_pairs(reps, spark.createDataFrame(blobs, "rep long, shingles binary"), 0.8).distinct().collect()
+    got = {(r.a, r.b) for r in got}
+    assert similar <= got and len(similar) > 50
+    assert all(a < b and a % 5 != b % 5 for a, b in got) and len(got) < 2 * len(similar)
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(0)
     values = np.sort(rng.integers(0, 1 << 63, 150).astype(np.uint64))
