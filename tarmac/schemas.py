@@ -70,7 +70,7 @@ NATURAL_KEY = ["FL_DATE", "OP_UNIQUE_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "D
 
 def struct_of(columns: dict[str, str]) -> T.StructType:
     """All-nullable StructType of a name -> type-name mapping."""
-    return T._parse_datatype_string(", ".join(f"`{c}` {t}" for c, t in columns.items()))
+    return T.StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in columns.items()))
 
 
 def raw_flight_schema() -> T.StructType:
