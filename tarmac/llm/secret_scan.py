@@ -13,6 +13,8 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,7 +36,13 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX_RUN = re.compile(r"[0-9a-f]{24,}")
 _ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{40,}={0,2}")
+_CHAR = "[A-Za-z0-9+/_-]"
+# what may part the lines of one key: blanks, line ends also as \\n and \\r, quotes, marks of quoted or commented lines
+_GAP = r"(?:\\+[nr]|[\s\"'>#*\\])"
+# what a DER sequence or the OpenSSH magic starts with
+_KEY_START = re.compile(rf"(?:(?<!{_CHAR})|(?<=\\[nr]))(?=M|b3BlbnNzaC){_CHAR}{{40,}}")
+_CHAIN = re.compile(rf"{_GAP}++|({_CHAR}++(?:{_GAP}++{_CHAR}++)*+)={{0,2}}")
+_RUN = re.compile(rf"{_GAP}++|({_CHAR}++)")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([^-]*)-----END \1-----")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _MARKS = bytes(104 if chr(b) in "0123456789abcdef" else 98 if chr(b).isalnum() and b < 128 or chr(b) in "+/_-" else 32 for b in range(256))
@@ -123,6 +131,56 @@ def _key_kind(data: bytes) -> str | None:
     return "der" if is_der_private_key(data) else "ssh" if is_ssh_private_key(data) else None
 
 
+def _claimed(coded: str, at: int) -> int:
+    """Bytes that the DER sequence or OpenSSH blob whose base64 begins at ``at`` says it has; 0 for anything else."""
+
+    def number(first: int, size: int) -> int:
+        part = _decoded(coded[at + first // 3 * 4 : at - (-(first + size) // 3) * 4])[first % 3 :][:size]
+        return int.from_bytes(part, "big") if len(part) == size else len(coded)
+
+    if coded[at] == "M":
+        octets = number(1, 1)
+        if octets < 0x80:
+            return 2 + octets
+        octets &= 0x7F
+        return 2 + octets + number(2, octets) if 1 <= octets <= 4 else 0
+    end = len("openssh-key-v1\0")
+    for _ in range(3):
+        end += 4 + number(end, 4)
+    keys, end = number(end, 4), end + 4
+    while keys >= 0 and end < len(coded):
+        end, keys = end + 4 + number(end, 4), keys - 1
+    return end
+
+
+def _bare_keys(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of base64 keys on one line or wrapped over several.
+
+    Runs of base64 with nothing but gaps between them are joined once; the length
+    that a key states says at the end of which run it must end.
+    """
+    starts = [m.start() for m in _KEY_START.finditer(text)]
+    found = []
+    for chain in _CHAIN.finditer(text, starts[0]) if starts else ():
+        if chain[1] is None or chain.end() - chain.start() < 40:
+            continue
+        runs = [m for m in _RUN.finditer(text, chain.start(1), chain.end(1)) if m[1]]
+        coded = "".join(m[1] for m in runs)
+        ends = list(accumulate(len(m[1]) for m in runs))
+        for k in range(len(runs)):
+            start, at = runs[k].start(), ends[k] - len(runs[k][1])
+            place = bisect_left(starts, start)
+            if place == len(starts) or starts[place] != start:
+                continue
+            end = at - (-_claimed(coded, at) * 4 // 3)
+            last = bisect_left(ends, end, k)
+            for upto in {k, last} if last < len(ends) and ends[last] == end else {k}:
+                kind = _key_kind(_decoded(coded[at : ends[upto]]))
+                if kind:
+                    found.append((kind, start, chain.end() if upto == len(runs) - 1 else runs[upto].end()))
+    return found
+
+
 def is_signed_token(header: str, payload: str) -> bool:
     """The header decodes to a JSON object that names an algorithm, the payload to something."""
     try:
@@ -158,10 +216,7 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     if "eyJ" in text:
         spans += [("token", *m.span()) for m in _TOKEN.finditer(text) if is_signed_token(m[1], m[2])]
     if b"b" * 40 in marks.replace(b"h", b"b"):
-        found = []
-        for m in _BASE64.finditer(text):
-            if m[0].startswith("M") or m[0].startswith("b3BlbnNzaC"):  # what a DER sequence or the OpenSSH magic starts with
-                found.append((_key_kind(_decoded(m[0])), m.span()))
+        found = [(k, (a, b)) for k, a, b in _bare_keys(text)]
         for m in _ANY_HEX.finditer(text):
             if m[0].startswith(("30", "6f70656e", "6F70656E")):
                 found.append((_key_kind(bytes.fromhex(m[0])), m.span()))

@@ -399,6 +399,25 @@ def test_confirmed_secrets_parse():
     assert secret_scan.redacted(f"a {token} b") == "a [REDACTED] b"
 
 
+def ssh_blob() -> bytes:
+    parts = [len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"", b"k" * 51, b"p" * 130)]
+    return b"openssh-key-v1\0" + b"".join(parts[:3]) + b"\0\0\0\1" + b"".join(parts[3:])
+
+
+@pytest.mark.parametrize(("kind", "data"), [("der", RSA), ("ssh", ssh_blob())])
+def test_bare_keys_after_signs_and_over_lines(kind, data):
+    key = base64.b64encode(data).decode()
+    for before, after in (("PRIVATE_KEY=", "\n"), ("SERVER_KEY=", " # x"), ("key:", "\nnext: 1"), ('"key":"', '",'), ("k='", "'"), ("a==", "")):
+        assert secret_scan.find_spans(before + key + after) == [(kind, len(before), len(before + key))]
+        for width, gap in ((64, "\n"), (76, "\r\n"), (64, "\n    "), (64, "\\n"), (64, "\n> "), (64, '"\n  "')):
+            wrapped = gap.join(key[k : k + width] for k in range(0, len(key), width))
+            text = f"é {before}{wrapped}{after}\nMore words follow here"
+            assert secret_scan.find_spans(text) == [(kind, 2 + len(before), 2 + len(before + wrapped))]
+    cut = "\n".join(key[k : k + 64] for k in range(0, len(key) - 8, 64))[:-5]
+    assert secret_scan.find_spans(f"KEY={cut}\n") == []
+    assert secret_scan.redacted(f"PRIVATE_KEY={key}\n") == "PRIVATE_KEY=[REDACTED]\n"
+
+
 def test_secrets_of_odd_rows(spark):
     assert all(r.spans == "" for r in secret_scan.digest(secret_scan.scan(odd_docs(spark))).collect())
     assert secret_scan.redact(odd_docs(spark)).filter("text is null").count() == 1
