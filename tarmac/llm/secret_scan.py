@@ -37,13 +37,19 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX_RUN = re.compile(r"[0-9a-f]{24,}")
 _ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 _CHAR = "[A-Za-z0-9+/_-]"
-# what may part the lines of one key: blanks, line ends also as \\n and \\r, quotes, marks of quoted or commented lines
+# what may part the lines of one key: blanks, line ends also as \n and \r, quotes, marks of quoted or commented lines
 _GAP = r"(?:\\+[nr]|[\s\"'>#*\\])"
 # what a DER sequence or the OpenSSH magic starts with
 _KEY_START = re.compile(rf"(?:(?<!{_CHAR})|(?<=\\[nr]))(?=M|b3BlbnNzaC){_CHAR}{{40,}}")
 _CHAIN = re.compile(rf"{_GAP}++|({_CHAR}++(?:{_GAP}++{_CHAR}++)*+)={{0,2}}")
 _RUN = re.compile(rf"{_GAP}++|({_CHAR}++)")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([^-]*)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----((?:(?!-----(?:BEGIN|END) ).)*+)-----END \1-----", re.DOTALL)
+_ESCAPED_END = re.compile(r"\\+[nr]")
+_ENCRYPTED = re.compile(r"Proc-Type:\s*4\s*,\s*ENCRYPTED")
+# the headers of an encrypted block may stand on one line with its body
+_ENCRYPTED_HEADERS = re.compile(rf"{_ENCRYPTED.pattern}|DEK-Info:\s*[A-Za-z0-9-]+\s*(?:,\s*[0-9A-Fa-f]+)?")
+_HEADER_LINE = re.compile(r"^.*:.*$", re.MULTILINE)
+_GAPS = re.compile(rf"{_GAP}+")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _MARKS = bytes(104 if chr(b) in "0123456789abcdef" else 98 if chr(b).isalnum() and b < 128 or chr(b) in "+/_-" else 32 for b in range(256))
 
@@ -208,9 +214,9 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     blocks = []
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
-            body = "".join(line.strip() for line in m[2].splitlines() if ":" not in line)
-            data = _decoded(body)
-            if _key_kind(data) or "Proc-Type:" in m[2] and data:
+            body = _ESCAPED_END.sub("\n", m[2])
+            data = _decoded(_GAPS.sub("", _HEADER_LINE.sub("", _ENCRYPTED_HEADERS.sub("", "\n".join(body.splitlines())))))
+            if _key_kind(data) or data and _ENCRYPTED.search(body):
                 spans.append(("pem", *m.span()))
                 blocks.append(m.span())
     if "eyJ" in text:

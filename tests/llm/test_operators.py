@@ -418,6 +418,24 @@ def test_bare_keys_after_signs_and_over_lines(kind, data):
     assert secret_scan.redacted(f"PRIVATE_KEY={key}\n") == "PRIVATE_KEY=[REDACTED]\n"
 
 
+def test_private_key_blocks_with_headers_and_escapes():
+    key = base64.b64encode(RSA).decode()
+    lines = [key[k : k + 64] for k in range(0, len(key), 64)]
+    secret = base64.b64encode(bytes(range(256)) * 2).decode()  # ciphertext parses as nothing
+    closed = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF", ""]
+    closed += [secret[k : k + 64] for k in range(0, len(secret), 64)]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    for body in (lines, closed):
+        for gap in ("\n", "\r\n", "\\n", "\\r\\n", "\\\\n", " ", "\n    ", "\n> "):
+            block = gap.join([begin, *body, end])
+            for before, after in (("é ", " x"), ('{"private_key": "', '\\n"}'), (begin + "\n", "\n" + end)):
+                spans = secret_scan.find_spans(before + block + after)
+                assert [s for s in spans if s[0] not in ("hex", "assign")] == [("pem", len(before), len(before + block))]
+    two = "\n".join([begin, *closed, end, begin, *lines, end])
+    assert [k for k, *_ in secret_scan.find_spans(two) if k != "hex"] == ["pem", "pem"]
+    assert secret_scan.find_spans("\n".join([begin, "Comment: Proc-Type", secret[:64], end])) == []
+
+
 def test_secrets_of_odd_rows(spark):
     assert all(r.spans == "" for r in secret_scan.digest(secret_scan.scan(odd_docs(spark))).collect())
     assert secret_scan.redact(odd_docs(spark)).filter("text is null").count() == 1
