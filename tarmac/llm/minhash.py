@@ -5,7 +5,9 @@ arrivals, at a rate of its weight, fall on the slots of a signature; a slot keep
 the shingle that arrives first, and a shingle stops once its next arrival comes
 after every slot's. Two signatures agree in a slot with the probability Jaccard
 similarity of their weighted sets. Bands of slots give candidate buckets.
-Candidates are verified by the exact Jaccard similarity of their shingles.
+Candidates are verified by the exact Jaccard similarity of their shingles. As that
+does not count repeats, a document has bands of equal weights, which estimate it,
+and beside them, where it repeats a shingle, bands of weights 1 + ln(times).
 
 Buckets are not expanded into pairs. In each round, every bucket is compared with
 one centre, the member that shares most buckets with others; verified links are
@@ -115,19 +117,37 @@ def _fingerprints(values: np.ndarray, times: np.ndarray, counts: np.ndarray) ->
     return out
 
 
+def _all_band_keys(values: np.ndarray, times: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys of all rows, one row after the other, and how many each row has.
+
+    Those of equal weights, and those of the repeats' weights where they differ;
+    a row without repeats has the same of both.
+    """
+    row = np.repeat(np.arange(len(counts)), counts)
+    often = np.bincount(row[times > 1], minlength=len(counts)) > 0
+    plain = band_keys(signatures(values, np.ones(len(values)), counts))
+    keys, kept = np.concatenate([plain, plain], 1), np.zeros((len(counts), 2 * BANDS), bool)
+    kept[:, :BANDS] = True
+    own = often[row]
+    keys[often, BANDS:] = band_keys(signatures(values[own], 1.0 + np.log(times[own]), counts[often]))
+    kept[often, BANDS:] = keys[often, BANDS:] != plain[often]
+    return keys[kept], kept.sum(1)
+
+
 def _signed(docs: DataFrame, words: int) -> DataFrame:
     """Adds ``print`` and ``keys`` in place of the text."""
 
     def run(column: pa.Array) -> list[pa.Array]:
         data, offsets = byte_buffers(column)
         prints: list[bytes | None] = []
-        keys = [np.zeros((0, BANDS), np.int64)]
+        keys, sizes = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
         for a, b in slices(offsets):
             values, times, counts = weighted_sets(*shingles(data, offsets[a : b + 1], words))
             prints += _fingerprints(values, times, counts)
-            keys.append(band_keys(signatures(values, 1.0 + np.log(times), counts)))
-        flat = pa.array(np.concatenate(keys).ravel())
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(column) + 1, dtype=np.int32) * BANDS), flat)
+            for made, of in zip(_all_band_keys(values, times, counts), (keys, sizes), strict=True):
+                of.append(made)
+        ends = np.cumsum(np.concatenate(sizes)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
         return [pa.array(prints, pa.binary()), lists]
 
     return with_columns_from_text(docs, "text", {"print": "binary", "keys": "array<bigint>"}, run)

@@ -193,6 +193,19 @@ def test_near_duplicates_match_brute_force(spark):
     assert [r.class_id for r in sorted(got)] == brute_classes(texts)
 
 
+def test_copies_that_repeat_a_passage_are_found(spark):
+    rng = np.random.default_rng(5)
+    texts = []
+    for k in range(16):
+        base = [f"w{x}" for x in rng.integers(0, 1 << 40, 240)]
+        again = base[100:140] if k % 2 else [f"w{x}" for x in rng.integers(0, 1 << 40, 44)]
+        texts += [" ".join(base), " ".join(base + again * (1000 if k % 4 < 2 else 100))]
+    expected = brute_classes(texts)
+    assert expected == [k // 2 * 2 for k in range(32)]
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r.class_id for r in sorted(got)] == expected
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = minhash.near_duplicates(odd_docs(spark)).collect()
     assert len(got) == len(ODD_TEXTS) + 2 and all(r.kept for r in got)
