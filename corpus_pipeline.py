@@ -19,11 +19,16 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates; documents without an id stay."""
-    kept = minhash.near_duplicates(docs).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"] == kept["_id"], "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    rows = rows.withColumn("_first", first).filter("_first = 1").drop("_first")
+    """One document of each class of near-duplicates; documents without an id stay.
+
+    Rows that share an id but not a text are documents of their own.
+    """
+    kept = minhash.row_classes(docs).filter("kept and doc_id is not null")
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_of")).distinct()
+    rows = docs.withColumn("_mark", minhash.mark())
+    rows = rows.join(kept, (rows["doc_id"] == kept["_id"]) & (rows["_mark"] == kept["_of"]), "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id", "_mark").orderBy("text"))
+    rows = rows.withColumn("_first", first).filter("_first = 1").drop("_first", "_mark")
     return rows.unionByName(docs.filter("doc_id is null"))
 
 

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -227,39 +227,61 @@ def _possible_pairs(reps: DataFrame, sets: DataFrame, threshold: float) -> DataF
     return a.join(b, "shingle").filter(apart & enough).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
 
 
+def mark(text: str = "text") -> Column:
+    """Tells apart the texts of rows that share an id: a 64-bit hash."""
+    return F.xxhash64(text)
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, class_id, kept.
 
     Documents link when the Jaccard similarity of their distinct shingles of
     whitespace-separated words (ASCII case folded) is at least ``threshold``;
-    classes are what links connect, ``class_id`` is the smallest id in it, and the
+    classes are what links connect, ``class_id`` is the smallest id in it, and a
     document of that id is kept. Documents with the same shingles, as often, are
     one class from the start. Null, empty and wordless texts link with nothing.
     A text of fewer words than a shingle has one shingle. Rows with a null id are
-    kept, in no class; rows that repeat an id share its class.
+    kept, in no class. Rows that repeat an id are documents of their own: their
+    texts are compared like any others, so unlike ones may be kept in two classes
+    of the same ``class_id``, and of like ones one is kept. Rows that repeat both
+    id and text share ``kept``.
+    """
+    return row_classes(docs, doc_id, text, words, threshold).select("doc_id", "class_id", "kept")
+
+
+def row_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``near_duplicates`` with the ``mark`` of each text. An id and a mark name the rows of one text.
+
+    Sets of shingles, not ids, are the nodes that links connect; 64 bits of their fingerprints name them.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), mark(text).alias("mark"), F.col(text).alias("text"))
     signed = written(_signed(rows, words), "signed")
-    classes = signed.filter("print is not null and doc_id is not null").groupBy("print").agg(
-        F.min("doc_id").alias("rep"), F.min_by("keys", "doc_id").alias("keys")
-    )
-    bands = classes.select("rep", F.explode("keys").alias("bucket"))
+    usable = signed.filter("print is not null and doc_id is not null")
+    row = F.struct("doc_id", "mark")
+    bands = usable.groupBy("print").agg(F.min_by("keys", "doc_id").alias("keys"))
+    bands = bands.select(F.xxhash64("print").alias("rep"), F.explode("keys").alias("bucket"))
     crowded = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     bands = written(bands.join(crowded, "bucket"), "bands")
-    links, classes_of = _linked(bands, rows, words, threshold)
-    members = signed.select("doc_id", "print")
-    reps = classes.select("print", "rep").join(classes_of, F.col("rep") == F.col("node"), "left")
-    own = members.join(reps.select("print", F.coalesce("component", "rep").alias("class_id")), "print", "left")
-    own = own.withColumn("class_id", F.coalesce("class_id", "doc_id"))
-    return own.select("doc_id", "class_id", F.coalesce(F.col("class_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
-
-
-def _linked(bands: DataFrame, rows: DataFrame, words: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    firsts = usable.groupBy("print").agg(F.min(row).alias("first")).select("print", F.xxhash64("print").alias("rep"), "first")
+    firsts = written(firsts, "firsts")
+    links, classes_of = _linked(bands, rows, firsts, words, threshold)
+    # of linked sets, the smallest row of their class; others are classes of their own
+    of = classes_of.join(firsts.select(F.col("rep").alias("node"), "first"), "node")
+    least = of.groupBy("component").agg(F.min("first").alias("least"))
+    least = classes_of.join(least, "component").select(F.col("node").alias("rep"), "least")
+    reps = firsts.join(least, "rep", "left").select("print", F.coalesce("least", "first").alias("of"))
+    own = signed.select("doc_id", "mark", "print").join(reps, "print", "left")
+    kept = F.when(F.col("doc_id").isNotNull(), (F.col("of.doc_id") == F.col("doc_id")) & (F.col("of.mark") == F.col("mark")))
+    class_id = F.coalesce("of.doc_id", "doc_id").alias("class_id")
+    return own.select("doc_id", "mark", class_id, F.coalesce(kept, F.lit(True)).alias("kept"))
+
+
+def _linked(bands: DataFrame, rows: DataFrame, firsts: DataFrame, words: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Verified links of all candidates and the classes they connect."""
-    wanted = bands.select(F.col("rep").alias("doc_id")).distinct()
-    # where an id repeats, its rows' shingles are those of the smallest text
-    texts = rows.join(wanted, "doc_id").filter("text is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
-    sets = written(_shingle_sets(texts.select(F.col("doc_id").alias("rep"), "text"), words), "shingles")
+    wanted = bands.select("rep").distinct().join(firsts, "rep").select("rep", "first.doc_id", "first.mark")
+    # rows that repeat an id and a text count once
+    texts = rows.join(wanted, ["doc_id", "mark"]).filter("text is not null").groupBy("rep").agg(F.min("text").alias("text"))
+    sets = written(_shingle_sets(texts, words), "shingles")
     nearness = bands.groupBy("rep").agg(F.sum("members").alias("shared"))
     ranked = written(bands.join(nearness, "rep").select("bucket", "rep", "shared"), "ranked")
     left = ranked.withColumns({"component": F.col("rep"), "centres": F.array().cast("array<long>")})

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
-from tarmac.llm import queries, secret_scan  # noqa: E402
+from tarmac.llm import minhash, queries, secret_scan  # noqa: E402
 from tarmac.llm.common import table  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
@@ -55,6 +55,24 @@ def test_stages(spark):
     assert mixed.columns == docs.columns and mixed.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 3
 
 
+def test_rows_of_one_id_remove_only_their_likes(spark):
+    def text(k):
+        return " ".join(f"w{k}x{n}" for n in range(60))
+
+    def near(k):
+        return text(k) + f" end{k}"
+
+    rows = [(7, text(1)), (7, text(2)), (7, None), (7, text(1)), (7, near(2)), (3, near(1)), (9, text(2)), (5, text(3)), (5, ""), (5, None), (None, text(3))]
+    docs = spark.createDataFrame([(k, x, "en", "s", 1) for k, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_dedup(spark, docs, SF)
+    got = sorted((r.doc_id or 0, "null" if r.text is None else r.text) for r in kept.collect())
+    of_two = [x for k, x in got if k == 7 and x in (text(2), near(2))]
+    assert kept.columns == docs.columns and len(of_two) == 1
+    assert got == sorted([(0, text(3)), (3, near(1)), (5, ""), (5, "null"), (5, text(3)), (7, "null"), (7, of_two[0])])
+    classes = {(r.doc_id, r.class_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
+    assert classes == {(None, 5, True), (3, 3, True), (5, 5, True), (7, 3, False), (7, 7, True), (7, 7, False), (9, 7, False)}
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0 and out.filter("not restored").count() == 0
