@@ -16,17 +16,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import bounded_sample, byte_buffers, hand_back, slices, with_columns_from_text
+from tarmac.llm.common import byte_buffers, hand_back, slices, with_columns_from_text
 
 ORDER = 3
 UNKNOWN = "und"
-#: Bounds of the labelled sample, per language.
+#: Bounds of the labelled sample, per language, and of all languages together.
 MAX_ROWS = 1000
 MAX_BYTES = 1_500_000
-MAX_LANGUAGES = 200
+TOTAL_BYTES = 24_000_000
+#: Up to this size the statistics are folded into one dense table.
+DENSE_BYTES = 200_000_000
 
 
 @dataclass
@@ -43,6 +45,48 @@ class ContextTrees:
         return int(self.classes.max()) + 1
 
 
+@dataclass
+class SparseTrees:
+    """Frozen statistics of very many languages: of each language only what it has seen.
+
+    A language has for each order (symbol keys, their bits, context keys, their
+    escapes' bits), keys rising; a key is made of classes of bytes.
+    """
+
+    languages: list[str]
+    classes: np.ndarray
+    width: int
+    trees: list[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
+
+
+def _sparse_tree(codes: np.ndarray, width: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    grams = _triples(codes, width) * width + codes[ORDER:]
+    out = []
+    for order in range(ORDER + 1):
+        keys, counts = np.unique(grams % width ** (order + 1), return_counts=True)
+        contexts, first, distinct = np.unique(keys // width, return_index=True, return_counts=True)
+        total = np.add.reduceat(counts, first) + distinct
+        own = -np.log2(counts / np.repeat(total, distinct))
+        out.append((keys, own.astype(np.float32), contexts, -np.log2(distinct / total).astype(np.float32)))
+    return out
+
+
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def _sparse_bits(tree: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], grams: np.ndarray, width: int) -> np.ndarray:
+    """Bits of the last byte of every gram after those before it."""
+    bits = np.full(len(grams), 8.0)
+    for order, (keys, own, contexts, escape) in enumerate(tree):
+        wanted = grams % width ** (order + 1)
+        context, known = _found(contexts, wanted // width)
+        symbol, seen = _found(keys, wanted)
+        bits = np.where(seen, own[symbol], np.where(known, bits + escape[context], bits))
+    return bits
+
+
 def _dense_bits(codes: np.ndarray, width: int, unseen_bits: np.ndarray) -> np.ndarray:
     """Bits of every symbol after every context of length 2, each by way of the shorter ones.
 
@@ -72,7 +116,7 @@ def _triples(codes: np.ndarray, width: int) -> np.ndarray:
     return (codes[:-3] * width + codes[1:-2]) * width + codes[2:-1]
 
 
-def train(samples: dict[str, list[bytes]]) -> ContextTrees:
+def train(samples: dict[str, list[bytes]]) -> ContextTrees | SparseTrees:
     """Context trees of each language's texts. Languages without any byte of text are left out."""
     languages = sorted(lang for lang, texts in samples.items() if any(texts))
     if not languages:
@@ -87,8 +131,10 @@ def train(samples: dict[str, list[bytes]]) -> ContextTrees:
     coded = {}
     for lang in languages:
         parts = [y for x in samples[lang] for y in (blank, np.frombuffer(x, np.uint8))]
-        coded[lang] = classes[np.concatenate(parts)].astype(np.int32)
+        coded[lang] = classes[np.concatenate(parts)].astype(np.int64)
     seen = np.unique(np.concatenate([np.unique(_triples(codes, width)) for codes in coded.values()]))
+    if (width * width + len(seen)) * width * len(languages) * 4 > DENSE_BYTES:
+        return SparseTrees(languages, classes, width, [_sparse_tree(coded[lang], width) for lang in languages])
     contexts = np.arange(width**3, dtype=np.int32) % (width * width)  # an unseen triple falls to its last two
     contexts[seen] = width * width + np.arange(len(seen), dtype=np.int32)
     bits = np.empty(((width * width + len(seen)), width, len(languages)), np.float32)
@@ -101,7 +147,7 @@ def train(samples: dict[str, list[bytes]]) -> ContextTrees:
     return ContextTrees(languages, classes, contexts, bits.reshape(-1, len(languages)))
 
 
-def code_lengths(model: ContextTrees, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def code_lengths(model: ContextTrees | SparseTrees, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Bits of each row under each language. Rows are cut into pieces for the work, with their contexts kept."""
     rows, width = len(offsets) - 1, model.width
     out = np.zeros((rows, len(model.languages)))
@@ -127,14 +173,20 @@ def code_lengths(model: ContextTrees, data: np.ndarray, offsets: np.ndarray) ->
                 fits = nearer == here - k
                 key = (before[0] * width + before[1]) * width + before[2]
                 context[here[fits]] = key[fits]
-            entry = model.contexts[context].astype(np.int64) * width + codes[3:]
             starts = np.unique(np.append(0, heads))
             owner = np.searchsorted(offsets, starts + at, "right") - 1
+            if isinstance(model, SparseTrees):
+                grams, place = np.unique(context * width + codes[3:], return_inverse=True)
+                for k, tree in enumerate(model.trees):
+                    bits = _sparse_bits(tree, grams, width)[place]
+                    np.add.at(out[:, k], owner, np.add.reduceat(bits, starts))
+                continue
+            entry = model.contexts[context].astype(np.int64) * width + codes[3:]
             np.add.at(out, owner, np.add.reduceat(model.bits[entry], starts, axis=0, dtype=np.float64))
     return out
 
 
-def predict(model: ContextTrees, column: pa.Array) -> tuple[list[str], np.ndarray]:
+def predict(model: ContextTrees | SparseTrees, column: pa.Array) -> tuple[list[str], np.ndarray]:
     """Language and score of each text. The score is the share of 2^-bits per 64 bytes that the winner has."""
     column = pa.array(column) if isinstance(column, list) else column
     if not model.languages:
@@ -151,25 +203,40 @@ def predict(model: ContextTrees, column: pa.Array) -> tuple[list[str], np.ndarra
 
 
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-          max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> ContextTrees:
+          max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, total_bytes: int = TOTAL_BYTES) -> ContextTrees | SparseTrees:
     """Train on a bounded sample of each language's rows; rows without id, text or language don't count.
 
-    ``max_rows`` and ``max_bytes`` bound what is gathered of each language. Beyond
-    ``MAX_LANGUAGES`` languages, the rarest are not learned.
+    Every language is learned. ``max_rows`` and ``max_bytes`` bound what is gathered
+    of each; many languages share ``total_bytes`` evenly. Of the rows with any text
+    but blanks the first in the order of a hash are taken, and of a text above a
+    hundredth of the bytes (more where that is very short) a piece from its middle.
     """
-    keys = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("stratum")).dropna()
-    common = keys.groupBy("stratum").count().orderBy(F.desc("count"), "stratum").limit(MAX_LANGUAGES)
-    keys = keys.join(F.broadcast(common.drop("count")), "stratum")
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("stratum"), F.col(text).alias("_text"))
+    rows = rows.filter(F.col("id").isNotNull() & F.col("stratum").isNotNull() & F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
+    rows = rows.withColumn("_order", F.xxhash64(F.col("id").cast("string"), F.lit(11)))
+    share = max(64, min(max_bytes, total_bytes // max(1, rows.select("stratum").distinct().count())))
+    limit = max(share // 100, min(share // 4, 1000))
+    rank = F.row_number().over(Window.partitionBy("stratum").orderBy("_order", "id"))
+    chosen = rows.select("id", "stratum", "_order").withColumn("_rank", rank).filter(F.col("_rank") <= min(max_rows, share // 64))
+    # only keys are ordered; texts are read where they lie
+    taken = rows.join(F.broadcast(chosen.select("id", "stratum").distinct()), ["id", "stratum"])
+    length = F.length("_text")
+    size = F.greatest(F.lit(1), F.floor(length * (limit / F.octet_length("_text"))).cast("int"))
+    start = (F.floor((length - size) / 2) + 1).cast("int")
+    piece = F.when(F.octet_length("_text") <= limit, F.col("_text")).otherwise(F.substring("_text", start, size))
+    taken = taken.select("id", "stratum", "_order", piece.alias("_text")).withColumn("_bytes", F.octet_length("_text"))
+    running = Window.partitionBy("stratum").orderBy("_order", "id", "_text").rowsBetween(Window.unboundedPreceding, -1)
+    taken = taken.withColumn("_before", F.coalesce(F.sum("_bytes").over(running), F.lit(0)))
     samples: dict[str, list[bytes]] = {}
-    for row in bounded_sample(keys, docs.select(doc_id, text), doc_id, text, max_rows, max_bytes):
-        samples.setdefault(row["stratum"], []).append(row[text].encode())
+    for row in taken.filter(F.col("_before") + F.when(F.col("_before") > 0, F.col("_bytes")).otherwise(0) <= share).orderBy("_order", "stratum", "_text").collect():
+        samples.setdefault(row["stratum"], []).append(row["_text"].encode())
     model = train(samples)
     samples.clear()
     hand_back()
     return model
 
 
-def identify(docs: DataFrame, model: ContextTrees, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: ContextTrees | SparseTrees, text: str = "text") -> DataFrame:
     """The rows with ``lang_pred`` and ``score`` in place of the text (columns of these names are replaced).
 
     Null texts and texts without a letter, empty ones included, get ``und`` and

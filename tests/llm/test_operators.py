@@ -295,6 +295,27 @@ def test_language_of_held_out_rows(spark):
     assert {r.lang_pred for r in ppm.identify(odd_docs(spark), ppm.learn(empty_docs(spark))).collect()} == {"und"}
 
 
+def test_sparse_trees_equal_dense_ones(monkeypatch):
+    texts = {"a": [b"the cat sat on the mat " * 5, b"a"], "b": ["le chat est sur la table é".encode() * 5], "c": ["日本語".encode()]}
+    column = pa.array(["", "a", "the", "la table\x00", None, "日本 the x" * 40_000])
+    dense = ppm.code_lengths(ppm.train(texts), *common.byte_buffers(column))
+    monkeypatch.setattr(ppm, "DENSE_BYTES", 0)
+    model = ppm.train(texts)
+    assert isinstance(model, ppm.SparseTrees) and np.allclose(ppm.code_lengths(model, *common.byte_buffers(column)), dense, rtol=1e-5)
+
+
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(6)
+    words = {f"l{k:03}": ["".join(chr(97 + x) for x in rng.integers(0, 26, 6)) for _ in range(6)] for k in range(230)}
+    rows = [(k, " ".join(own * 3), lang) for k, (lang, own) in enumerate(words.items())]
+    rows += [(1000 + k, " ".join(own * 8000), lang) for k, (lang, own) in enumerate([("long", ["kwyjibo", "zzyzx"])])]
+    rows += [(2000 + k, None, "late") for k in range(1500)] + [(5000, "qoph quux qat " * 5, "late")]
+    model = ppm.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = [(lang, " ".join(own)) for lang, own in words.items()] + [("long", "kwyjibo zzyzx kwyjibo"), ("late", "qat quux qoph")]
+    assert sorted(model.languages) == sorted(lang for lang, _ in texts)
+    assert ppm.predict(model, [x for _, x in texts])[0] == [lang for lang, _ in texts]
+
+
 @pytest.mark.parametrize(("query", "label", "least"), [(queries.op7_quality, "quality", 0.93), (queries.op10_toxicity, "toxic", 0.93)])
 def test_labels_of_held_out_rows(spark, query, label, least):
     got = query(spark, "/root/testdata/sf0.1").filter("held_out").join(common.table(spark, "/root/testdata/sf0.1", "labels"), "doc_id")
