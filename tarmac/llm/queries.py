@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import block_topk, compression_quality, minhash, mixing, ppm, range_join, secret_scan, simple8b, suffix_pieces, text_cnn
+from tarmac.llm import (
+    block_topk, compression_quality, merkle, minhash, mixing, ppm, range_join, secret_scan, simple8b, suffix_pieces, text_cnn,
+)
 from tarmac.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,9 +71,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_cnn.classify(docs.select("doc_id", "held_out", "text"), model, share)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_manifest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_embedding_near_dedup, op2_mixing, op3_minhash_near_dedup, op4_language_id, op5_token_files,
-             op6_sentencepiece, op7_quality, op8_top_products, op9_secret_scan, op10_toxicity)
+             op6_sentencepiece, op7_quality, op8_top_products, op9_secret_scan, op10_toxicity, op11_merkle_manifest)
     return {f.__name__: f for f in found}
 
 
@@ -112,6 +118,57 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+# crc32 bit by bit: a list entry below 256 is the next byte, 256 asks for a shift
+OP11_SQL = """
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(' ' || lang, '') AS k,
+           (CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END)
+           || (CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END)
+           || (CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END) AS head,
+           n_chars::HUGEINT AS chars,
+           CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS tail,
+           xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+               lambda c: [ascii(c)::BIGINT, 256, 256, 256, 256, 256, 256, 256, 256]))),
+               lambda a, b: CASE WHEN b < 256 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END),
+               4294967295) % 7 = 0 AS tampered
+    FROM documents
+), leaves AS (
+    SELECT r, doc_id, k, tampered,
+           sha256(head || (CASE WHEN chars IS NULL THEN '-' ELSE strlen(chars::VARCHAR) || ':' || chars END) || tail) AS leaf,
+           sha256(head || (CASE WHEN chars IS NULL THEN '-' ELSE strlen((chars + 1)::VARCHAR) || ':' || (chars + 1) END) || tail) AS other
+    FROM docs
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS idx, count(*) OVER (PARTITION BY k) AS n
+    FROM leaves
+), nodes AS (
+    SELECT k, 0 AS lvl, idx, n, leaf AS h FROM placed
+    UNION ALL
+    SELECT k, lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM nodes WHERE n > 1
+    GROUP BY k, lvl, idx // 2, n
+), tops AS (
+    SELECT k, h AS subroot, row_number() OVER (ORDER BY k) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper AS (
+    SELECT 0 AS lvl, idx, n, subroot AS h FROM tops
+    UNION ALL
+    SELECT lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM upper WHERE n > 1 GROUP BY lvl, idx // 2, n
+), climb AS (
+    SELECT r, k, 0 AS lvl, idx, n, CASE WHEN tampered THEN other ELSE leaf END AS folded, '' AS beside FROM placed
+    UNION ALL
+    SELECT c.r, c.k, c.lvl + 1, c.idx // 2, (c.n + 1) // 2,
+           sha256(CASE WHEN c.idx % 2 = 1 THEN s.h || c.folded ELSE c.folded || coalesce(s.h, '') END), c.beside || coalesce(s.h, '')
+    FROM climb c LEFT JOIN nodes s ON s.k = c.k AND s.lvl = c.lvl AND s.idx = xor(c.idx, 1) WHERE c.n > 1
+), rise AS (
+    SELECT c.r, 0 AS lvl, t.idx, t.n, c.folded, c.beside FROM climb c JOIN tops t ON t.k = c.k WHERE c.n = 1
+    UNION ALL
+    SELECT c.r, c.lvl + 1, c.idx // 2, (c.n + 1) // 2,
+           sha256(CASE WHEN c.idx % 2 = 1 THEN s.h || c.folded ELSE c.folded || coalesce(s.h, '') END), c.beside || coalesce(s.h, '')
+    FROM rise c LEFT JOIN upper s ON s.lvl = c.lvl AND s.idx = xor(c.idx, 1) WHERE c.n > 1
+)
+SELECT p.doc_id, p.leaf, t.subroot, u.h AS root, sha256(e.beside) AS proof_sha256, e.folded AS folded_root, e.folded = u.h AS verified
+FROM placed p JOIN rise e ON e.r = p.r AND e.n = 1 JOIN tops t ON t.k = p.k CROSS JOIN (SELECT h FROM upper WHERE n = 1) u
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Only what SQL can express; the others are tested against brute force, libraries or held-out rows."""
-    return {"op1_embedding_near_dedup": OP1_SQL, "op8_top_products": OP8_SQL}
+    return {"op1_embedding_near_dedup": OP1_SQL, "op8_top_products": OP8_SQL, "op11_merkle_manifest": OP11_SQL}
