@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import (
-    block_topk, compression_quality, merkle, minhash, mixing, ppm, range_join, secret_scan, simple8b, suffix_pieces, text_cnn,
+    block_topk, compression_quality, merkle, minhash, mixing, ppm, range_join, relative_lz, secret_scan, simple8b,
+    suffix_pieces, text_cnn,
 )
 from tarmac.llm.common import fold, table
 
@@ -75,9 +76,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = relative_lz.without_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_embedding_near_dedup, op2_mixing, op3_minhash_near_dedup, op4_language_id, op5_token_files,
-             op6_sentencepiece, op7_quality, op8_top_products, op9_secret_scan, op10_toxicity, op11_merkle_manifest)
+             op6_sentencepiece, op7_quality, op8_top_products, op9_secret_scan, op10_toxicity, op11_merkle_manifest,
+             op12_substring_dedup)
     return {f.__name__: f for f in found}
 
 
