@@ -109,6 +109,36 @@ def byte_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
+#: Logarithm of the most bits that a filter may have: 16 MB, however many keys there are.
+FILTER_BITS = 27
+
+
+def bit_filter(keys: DataFrame, n: int, bits_per_key: int = 16, slices_of_key: int = 1, most_bits: int = FILTER_BITS) -> tuple:
+    """A broadcast bit field in which the bits of ``n`` well-mixed 64-bit keys (column ``key``) are set, for ``passing``.
+
+    A key sets one bit for each of its slices from the lowest bits up. The field has ``bits_per_key`` bits
+    a key, but 2^most_bits at most, which bounds what the driver holds. Beyond that more other keys pass.
+    """
+    bits = min(max((bits_per_key * n).bit_length(), 16), most_bits)
+    parts = [F.shiftrightunsigned("key", bits * i).bitwiseAND((1 << bits) - 1) for i in range(slices_of_key)]
+    places = keys.select(F.explode(F.array(*parts)).alias("place"))
+    flag = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    cells = places.groupBy(F.shiftright("place", 6).alias("cell")).agg(F.bit_or(flag).alias("flags")).toArrow()
+    field = np.zeros(1 << (bits - 6), np.uint64)
+    field[cells.column("cell").to_numpy()] = cells.column("flags").to_numpy().view(np.uint64)
+    return keys.sparkSession.sparkContext.broadcast(field.tobytes()), bits, slices_of_key
+
+
+def passing(keyed_bits: tuple, keys: np.ndarray) -> np.ndarray:
+    """Which keys may be in a filter; those that are in it always pass."""
+    field, bits, slices_of_key = np.frombuffer(keyed_bits[0].value, np.uint64), keyed_bits[1], keyed_bits[2]
+    found = np.ones(len(keys), bool)
+    for i in range(slices_of_key):
+        place = (keys >> np.uint64(bits * i)) & np.uint64((1 << bits) - 1)
+        found &= (field[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+    return found
+
+
 def hand_back() -> None:
     """Return freed memory to the system: Python workers live on after a task, the driver after a training."""
     pa.default_memory_pool().release_unused()

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import (
-    block_topk, compression_quality, merkle, minhash, mixing, ppm, range_join, relative_lz, secret_scan, simple8b,
-    suffix_pieces, text_cnn,
+    block_topk, collocations, compression_quality, merkle, minhash, mixing, ppm, range_join, relative_lz, secret_scan,
+    simple8b, suffix_pieces, text_cnn,
 )
 from tarmac.llm.common import fold, table
 
@@ -81,10 +81,14 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_embedding_near_dedup, op2_mixing, op3_minhash_near_dedup, op4_language_id, op5_token_files,
              op6_sentencepiece, op7_quality, op8_top_products, op9_secret_scan, op10_toxicity, op11_merkle_manifest,
-             op12_substring_dedup)
+             op12_substring_dedup, op13_collocations)
     return {f.__name__: f for f in found}
 
 
@@ -176,6 +180,48 @@ FROM placed p JOIN rise e ON e.r = p.r AND e.n = 1 JOIN tops t ON t.k = p.k CROS
 """
 
 
+OP13_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), grams AS (
+    SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: words[i : i + size - 1])) AS gram
+    FROM worded, (SELECT unnest([1, 2, 3, 4, 5]) AS size) WHERE len(words) >= size
+), counted AS (
+    SELECT lang, size, gram, count(*) AS f FROM grams GROUP BY lang, size, gram HAVING size = 1 OR count(*) >= 100
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY lang
+), candidates AS (
+    SELECT * FROM counted WHERE size > 1
+), contained AS (
+    SELECT lang, f AS longer_f, unnest(flatten(list_transform(range(2, size),
+        lambda m: list_transform(range(1, size - m + 2), lambda i: gram[i : i + m - 1])))) AS gram
+    FROM candidates
+), dropped AS (
+    SELECT DISTINCT c.lang, c.gram FROM candidates c JOIN contained d ON d.lang = c.lang AND d.gram = c.gram
+    WHERE 100 * d.longer_f >= 100 * c.f
+), cuts AS (
+    SELECT lang, gram, f, unnest(range(1, size)) AS k FROM candidates
+), scored AS (
+    SELECT c.lang, c.gram, c.f AS a, c.k, l.f AS l, r.f AS r, n, (1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS score
+    FROM cuts c JOIN totals t ON t.lang = c.lang
+    JOIN counted l ON l.lang = c.lang AND l.gram = c.gram[1 : c.k]
+    JOIN counted r ON r.lang = c.lang AND r.gram = c.gram[c.k + 1 :]
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1
+), ranked AS (
+    SELECT lang, array_to_string(gram, ' ') AS phrase, a, l, r, n, score::BIGINT AS score,
+           row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(gram, ' ')) AS rank
+    FROM lowest WHERE NOT EXISTS (SELECT 1 FROM dropped d WHERE d.lang = lowest.lang AND d.gram = lowest.gram)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Only what SQL can express; the others are tested against brute force, libraries or held-out rows."""
-    return {"op1_embedding_near_dedup": OP1_SQL, "op8_top_products": OP8_SQL, "op11_merkle_manifest": OP11_SQL}
+    return {"op1_embedding_near_dedup": OP1_SQL, "op8_top_products": OP8_SQL, "op11_merkle_manifest": OP11_SQL,
+            "op13_collocations": OP13_SQL}

@@ -36,12 +36,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import BATCH_ROWS, BATCH_ROWS_KEY, SLICE_BYTES, byte_buffers, hand_back, mixed, separators, slices, written
+from tarmac.llm.common import (
+    BATCH_ROWS, BATCH_ROWS_KEY, FILTER_BITS, SLICE_BYTES, bit_filter, byte_buffers, hand_back, mixed, passing, separators,
+    slices, written,
+)
 
 ANCHOR_WORDS = 8
-#: Bits of a filter for each anchor in it, and the logarithm of the most bits that a filter may have.
-BITS_PER_ANCHOR = 16
-MOST_BITS = 27
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -127,12 +127,6 @@ def phrases(keyed: DataFrame, window: int, anchor_words: int, filters: tuple | N
     """
     _small_batches(keyed)
 
-    def passing(which: int, anchors: np.ndarray) -> np.ndarray:
-        bits, shift = filters[which]
-        field = np.frombuffer(bits.value, np.uint64)
-        place = anchors >> np.uint64(shift)
-        return (field[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-
     def on_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = byte_buffers(batch.column(2))
@@ -140,13 +134,13 @@ def phrases(keyed: DataFrame, window: int, anchor_words: int, filters: tuple | N
                 words = Words(data, offsets[low : high + 1])
                 row, first, n, anchor, text = phrases_of(words, window, anchor_words)
                 if filters:
-                    keep = passing(0, anchor)
+                    keep = passing(filters[0], anchor)
                     row, first, n, anchor, text = row[keep], first[keep], n[keep], anchor[keep], text[keep]
                 if not len(row):
                     continue
                 rows = pa.array(low + row)
                 if filters:
-                    many = passing(1, anchor)
+                    many = passing(filters[1], anchor)
                     sizes = np.where(many, n, 0)
                     ends = np.concatenate([[0], np.cumsum(sizes)])
                     start = np.repeat(first, sizes) + np.arange(ends[-1]) - np.repeat(ends[:-1], sizes)
@@ -174,23 +168,9 @@ def _small_batches(df: DataFrame) -> None:
         conf.set(BATCH_ROWS_KEY, str(BATCH_ROWS))
 
 
-def bit_filter(anchors: DataFrame, n: int) -> tuple:
-    """A broadcast bit field of the anchors' leading bits, and by how much to shift an anchor to its bit.
-
-    It has BITS_PER_ANCHOR bits for each anchor up to 2^MOST_BITS in all, which bounds what the
-    driver holds; beyond that it lets more phrases pass and nothing else changes.
-    """
-    bits = min(max((BITS_PER_ANCHOR * n).bit_length(), 16), MOST_BITS)
-    place = F.shiftrightunsigned("anchor", 64 - bits)
-    flag = F.expr("shiftleft(1L, cast(place & 63 as int))")
-    cells = anchors.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("cell")).agg(F.bit_or(flag).alias("flags"))
-    found = cells.toArrow()
-    field = np.zeros(1 << (bits - 6), np.uint64)
-    field[found.column("cell").to_numpy()] = found.column("flags").to_numpy().view(np.uint64)
-    return anchors.sparkSession.sparkContext.broadcast(field.tobytes()), 64 - bits
-
-
-def copies(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def copies(
+    docs: DataFrame, window: int = 35, doc_id: str = "doc_id", text: str = "text", filter_bits: int = FILTER_BITS
+) -> DataFrame:
     """Per distinct document (key_a, key_b) its repeated ``pieces``: first window, number of windows, where they stand too.
 
     A piece is a phrase that stands elsewhere, or a single repeated window at a boundary (reference null).
@@ -202,7 +182,9 @@ def copies(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", text: str
     )
     anchors = written(anchors.filter("times > 1").select("anchor", "differ"), "lz-anchors")
     n, n_differ = anchors.agg(F.count(F.lit(1)), F.count_if("differ")).first()
-    filters = bit_filter(anchors, n), bit_filter(anchors.filter("differ"), n_differ)
+    keys = anchors.withColumnRenamed("anchor", "key")
+    repeated = bit_filter(keys, n, most_bits=filter_bits)
+    filters = repeated, bit_filter(keys.filter("differ"), n_differ, bits_per_key=32, slices_of_key=2, most_bits=filter_bits)
 
     found = written(phrases(keyed, window, anchor_words, filters), "lz-phrases")
     place = F.struct("key_a", "key_b", "first")
@@ -237,14 +219,16 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def without_copies(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def without_copies(
+    docs: DataFrame, window: int = 35, doc_id: str = "doc_id", text: str = "text", filter_bits: int = FILTER_BITS
+) -> DataFrame:
     """The rows with what is left of their text, joined by single blanks, and what was copied from where.
 
     Adds n_words, n_removed, kept_text and factors (start and number of words, the
     first hash of the document referred to and the word it starts at there; null
     for single windows at a boundary).
     """
-    pieces = copies(docs, window, doc_id, text).withColumnsRenamed({"key_a": "piece_a", "key_b": "piece_b"})
+    pieces = copies(docs, window, doc_id, text, filter_bits).withColumnsRenamed({"key_a": "piece_a", "key_b": "piece_b"})
     keyed = _keyed(docs, doc_id, text)
     rows = keyed.join(pieces, (F.col("key_a") == F.col("piece_a")) & (F.col("key_b") == F.col("piece_b")), "left")
     added = {"n_words": "long", "n_removed": "long", "kept_text": "string", "factors": FACTOR}

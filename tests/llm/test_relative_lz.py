@@ -28,8 +28,8 @@ def by_counting(rows, window: int) -> list[tuple]:
     return sorted(result, key=str)
 
 
-def same(docs, window: int) -> None:
-    got = relative_lz.without_copies(docs, window)
+def same(docs, window: int, filter_bits: int = 27) -> None:
+    got = relative_lz.without_copies(docs, window, filter_bits=filter_bits)
     assert set(docs.columns) <= set(got.columns)
     rows = [tuple(r) for r in got.select("doc_id", "n_words", "n_removed", "kept_text").collect()]
     assert sorted(rows, key=str) == by_counting(docs.collect(), window)
@@ -53,11 +53,10 @@ def patchwork(seed: int, n_docs: int, letters: str) -> list[tuple]:
     return [(i, rng.choice([" ", "\n\t", "  "]).join(words), "x") for i, words in enumerate(texts)]
 
 
-@pytest.mark.parametrize(("window", "letters", "bits"), [(5, "abcdefghijklmnopqrstuvwxyzé", 27), (12, "ab", 27), (12, "abcdef", 16)])
-def test_patchwork_matches_a_count_of_windows(spark, monkeypatch, window, letters, bits):
-    monkeypatch.setattr(relative_lz, "MOST_BITS", bits)
+@pytest.mark.parametrize(("window", "letters", "bits"), [(5, "abcdefghijklmnopqrstuvwxyzé", 27), (12, "ab", 27), (12, "abcdef", 6)])
+def test_patchwork_matches_a_count_of_windows(spark, window, letters, bits):
     docs = spark.createDataFrame(patchwork(window, 120, letters), "doc_id long, text string, first string")
-    same(docs.repartition(7), window)
+    same(docs.repartition(7), window, bits)
 
 
 def test_odd_rows(spark):
