@@ -20,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import Remembered, per_process
+from tarmac.llm.common import Remembered, byte_buffers, per_process, slices
 from tarmac.sources.tables import fresh_folder
 
 DATA_BITS = 60
@@ -34,7 +35,9 @@ LAST_SELECTOR = 14
 BLOCK_IDS = 1 << 16
 RANGE_ROWS = 8192
 MOST_RANGES = 20_000
-BATCH_DOCS = 64
+BATCH_BYTES = 1 << 20
+#: So many documents that are not at their end yet are walked one by one rather than together.
+FEW_DOCS = 24
 #: Chunks remembered in each of two generations.
 KNOWN_CHUNKS = 250_000
 MAGIC = b"S8BLOCK1"
@@ -42,17 +45,43 @@ MAGIC = b"S8BLOCK1"
 # The blanks of Unicode's White_Space property. Byte-level BPE parts text before each single space or line feed
 # that stands between other characters, so a text without neighbouring blanks falls into independent chunks there.
 _BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_ODD_BLANK = re.compile(r"[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CHUNK = re.compile(f" ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
-# after a letter or digit, a comma or full stop stands apart from it and from the blank that follows
-_JOINED_MARK = re.compile(r"[^A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\u024f][.,]|^[.,]")
+# Patterns that Arrow looks for in many texts at once: neighbouring, leading, trailing or odd blanks, and commas or
+# full stops that do not follow a letter or digit (after one, such a mark stands apart from it and from the blank that follows).
+_ODD = (
+    r"  | \n|\n |\n\n|^[ \n]|[ \n]$|[\t\x0b-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+_JOINED_MARK = r"[^A-Za-z0-9\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}][.,]|^[.,]"
 # a run of letters or of digits, with at most a space before it, goes to the byte-pair model in one piece
 _ONE_PIECE = re.compile(r" ?(?:[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+|[0-9]+)")
 # Bytes that byte-level vocabularies spell as the character of that number; the others, in order, from U+0100 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SPACE = "\u0120"
 _STAND_INS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+def _word_starts(following: np.ndarray, heads: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places where words begin, in order: from each document's head on along ``following``, all documents a step at a time."""
+    order = np.argsort(-sizes, kind="stable")
+    at, ends = heads[order], (heads + sizes)[order]
+    steps = []
+    while True:
+        alive = at < ends
+        at, ends = at[alive], ends[alive]
+        if len(at) < FEW_DOCS:
+            break
+        steps.append(at)
+        at = following[at]
+    rest = []
+    for place, end in zip(at.tolist(), ends.tolist(), strict=True):
+        own = following[place:end].tolist()
+        i = place
+        while i < end:
+            rest.append(i)
+            i = own[i - place]
+    return np.sort(np.concatenate([*steps, np.array(rest, np.int64)]))
+
+
 def encode_words(values: np.ndarray, offsets: np.ndarray | None = None) -> tuple[list[np.ndarray], list[int]]:
     """Words of each document, its raw words last, and how many raw words there are. Offsets part the documents."""
     values = values.astype(np.uint64)
@@ -76,16 +105,8 @@ def encode_words(values: np.ndarray, offsets: np.ndarray | None = None) -> tuple
             most[: len(most) - step] = np.maximum(most[: len(most) - step], most[step:])
             span += step
         selector[most[:n] <= WIDTHS[s]] = s
-    jump = (np.arange(n) + COUNTS[selector]).tolist()
-    starts: list[int] = []
-    ends = []
-    for at, size in zip(heads.tolist(), sizes.tolist(), strict=True):
-        end = at + size
-        while at < end:
-            starts.append(at)
-            at = jump[at]
-        ends.append(len(starts))
-    begun = np.array(starts, np.int64)
+    begun = _word_starts(np.arange(n) + COUNTS[selector], heads, sizes)
+    ends = np.searchsorted(begun, heads + sizes).tolist()
     chosen = selector[begun].astype(np.int64)
     words = chosen.astype(np.uint64) << np.uint64(DATA_BITS)
     for s in np.unique(chosen):
@@ -180,7 +201,8 @@ def _encode_chunks(tokenizer, model, chunks: list[str]) -> list[bytes]:
     others = []
     for k, chunk in enumerate(chunks):
         if model is not None and _ONE_PIECE.fullmatch(chunk):
-            ids = [t.id for t in model.tokenize(chunk.encode().decode("latin-1").translate(_STAND_INS))]
+            spelt = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(_STAND_INS)
+            ids = [t.id for t in model.tokenize(_SPACE + spelt[1:] if chunk[0] == " " else spelt)]
             out[k] = struct.pack(f"<{len(ids)}I", *ids)
         else:
             others.append(k)
@@ -196,40 +218,80 @@ def _chunk_text(key: str) -> str:
     return key[1:] if key[:1] == "\r" else key if key[:1] == "\n" else " " + key
 
 
-def chunk_keys(text: str) -> list[str]:
-    """Keys of the chunks whose ids, in a row, are the ids of the text. `\\r` marks a chunk that stands as it is."""
-    if not text:
-        return []
-    blanks = "  " in text or " \n" in text or "\n " in text or "\n\n" in text
-    if blanks or text[0] in " \n" or text[-1] in " \n" or _ODD_BLANK.search(text):
-        return ["\r" + c for c in _CHUNK.findall(text)]
-    if not _JOINED_MARK.search(text):
+#: Parts the keys of texts that are cut by the pattern; texts that hold it go to the tokenizer whole.
+_PART = "\x01"
+
+
+def _marked(text: str, odd: bool, joined: bool) -> str:
+    """The keys of a text's chunks, parted by ``_PART`` in texts of odd blanks and by spaces in others.
+
+    The chunks' ids, in a row, are the ids of the text. `\\r` marks a chunk that stands as it is.
+    """
+    if odd:
+        return "\r" + (_PART + "\r").join(_CHUNK.findall(text))
+    if not joined:
         text = text.replace(", ", " \r, ").replace(". ", " \r. ").replace(".\n", " \r.\n")
-    return ("\r" + text).replace("\n", " \n").split(" ")
+    return ("\r" + text).replace("\n", " \n")
 
 
-def token_bytes(path: str, texts: list[str | None]) -> list[bytes]:
-    """Ids of whole texts as little-endian unsigned 32-bit integers, without the end id.
+def _chunk_ids(path: str, texts: list[str], parted_by: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of marked texts one after the other, and how many each has.
 
-    Each distinct chunk is encoded once per worker as long as it is remembered.
+    Arrow splits the texts and numbers the distinct chunks; only those are looked up, and numpy gathers their ids.
     """
     tokenizer = per_process(f"tokenizer {path}", lambda: _load_tokenizer(path))
     model = per_process(f"byte pairs {path}", lambda: _byte_pairs(tokenizer))
     remembered: Remembered = per_process(f"chunks {path}", lambda: Remembered(KNOWN_CHUNKS))
-    specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    keys = [None if x and any(s in x for s in specials) else chunk_keys(x or "") for x in texts]
-
-    def coded(new: list[str]) -> list[bytes]:
-        return _encode_chunks(tokenizer, model, list(map(_chunk_text, new)))
+    lists = pc.split_pattern(pa.array(texts, pa.large_string()), parted_by)
+    numbered = lists.flatten().dictionary_encode()
+    chunks = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+    known = remembered.learn(set(chunks), lambda new: _encode_chunks(tokenizer, model, list(map(_chunk_text, new))))
+    parts = list(map(known.__getitem__, chunks))
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
+    ids, begins = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(lengths) - lengths
+    codes = numbered.indices.to_numpy()
+    n = lengths[codes]
+    ends = np.append(0, np.cumsum(n))
+    gathered = ids[np.repeat(begins[codes] - ends[:-1], n) + np.arange(ends[-1])]
+    return gathered, np.diff(ends[lists.offsets.to_numpy()])
+
+
+def token_ids(path: str, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of whole texts one after the other, without the end id, and how many each text has.
 
-    known = remembered.learn(set().union(*(own for own in keys if own)), coded)
-    out = []
-    for text, own in zip(texts, keys, strict=True):
-        if own is None:  # a special token may span chunks
-            out.append(np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+    Each distinct chunk is encoded once per worker as long as it is remembered.
+    """
+    tokenizer = per_process(f"tokenizer {path}", lambda: _load_tokenizer(path))
+    specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    ways: dict[str, tuple[list[int], list[str]]] = {_PART: ([], []), " ": ([], []), "whole": ([], [])}
+    column = pa.array(texts, pa.large_string())
+    odd, joined = (pc.match_substring_regex(column, pattern).to_pylist() for pattern in (_ODD, _JOINED_MARK))
+    for k, text in enumerate(texts):
+        if not text:
+            continue
+        if _PART in text or any(s in text for s in specials):  # a special token may span chunks
+            way, marked = "whole", text
         else:
-            out.append(b"".join(map(known.__getitem__, own)))
-    return out
+            way, marked = _PART if odd[k] else " ", _marked(text, odd[k], joined[k])
+        ways[way][0].append(k)
+        ways[way][1].append(marked)
+    sizes = np.zeros(len(texts), np.int64)
+    found = []
+    for way, (places, own) in ways.items():
+        if not own:
+            continue
+        if way == "whole":
+            lists = [np.array(tokenizer.encode(x, add_special_tokens=False).ids, "<u4") for x in own]
+            ids, n = np.concatenate(lists), np.array([len(x) for x in lists])
+        else:
+            ids, n = _chunk_ids(path, own, way)
+        sizes[places] = n
+        found.append((np.array(places), ids, n))
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), "<u4")
+    for places, ids, n in found:
+        out[np.repeat(starts[places] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+    return out, sizes
 
 
 def _packed_ranges(tokenizer: str, end_id: int):
@@ -237,7 +299,6 @@ def _packed_ranges(tokenizer: str, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("before", pa.int64()), ("n_ids", pa.int64()), ("data", pa.binary())])
-        end = np.uint32(end_id).astype("<u4").tobytes()
         held: list[tuple[int | None, int, int, bytes]] = []
         part, block, before, own = 0, 0, 0, 0
 
@@ -245,13 +306,14 @@ def _packed_ranges(tokenizer: str, end_id: int):
             return pa.RecordBatch.from_pylist([{"part": part, "block": block, "before": before, "n_ids": own, "data": pack_block(held)}], schema)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_DOCS):
-                rows = batch.slice(at, BATCH_DOCS)
+            for low, high in slices(byte_buffers(batch.column("text"))[1], BATCH_BYTES):
+                rows = batch.slice(low, high - low)
                 part = rows.column("part")[0].as_py()
-                data = [x + end for x in token_bytes(tokenizer, rows.column("text").to_pylist())]
-                sizes = [len(x) // 4 for x in data]
-                coded, raws = encode_words(np.frombuffer(b"".join(data), "<u4"), np.append(0, np.cumsum(sizes)))
-                for doc_id, size, raw, words in zip(rows.column("doc_id").to_pylist(), sizes, raws, coded, strict=True):
+                ids, sizes = token_ids(tokenizer, rows.column("text").to_pylist())
+                ids = np.insert(ids, np.cumsum(sizes), end_id)
+                sizes = sizes + 1
+                coded, raws = encode_words(ids, np.append(0, np.cumsum(sizes)))
+                for doc_id, size, raw, words in zip(rows.column("doc_id").to_pylist(), sizes.tolist(), raws, coded, strict=True):
                     held.append((doc_id, size, raw, words.astype("<u8").tobytes()))
                     own += size
                     if own >= BLOCK_IDS:
