@@ -43,9 +43,9 @@ from tarmac.llm.common import (
 )
 
 LONGEST = 5
-#: Words that the first round may grow from in any language, and its share of larger ones; later rounds take eight times more.
-ROUND_WORDS = 1 << 22
-ROUND_SHARE = 1 / 64
+#: Words that the first round may grow from in any language, and its share of larger ones; later rounds take four times more.
+ROUND_WORDS = 1 << 23
+ROUND_SHARE = 1 / 32
 #: Phrases that a round counts beyond those that the result asks for, in multiples of them.
 AHEAD = 2
 _BASE = 0x9E3779B97F4A7C15
@@ -161,28 +161,50 @@ def count_words(texts: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
-def grow(texts: DataFrame, heads: tuple, frequent: tuple, least: int) -> DataFrame:
-    """(lang, phrase, size, f) of all phrases that begin with a word of ``heads`` and occur ``least`` times or more.
+def _grown_from(texts: DataFrame, prefixes: tuple, size: int, frequent: tuple, longest: int) -> DataFrame:
+    """(lang, phrase, size, f) of phrases of ``size`` + 1 to ``longest`` words whose first ``size`` words may be among the prefixes.
 
     A phrase ends before a word that is itself too rare.
     """
 
     def run(p: Pieces) -> Iterator:
         every = np.arange(p.total)
-        words = p.keys(every, 1)
-        rare = np.append(np.flatnonzero(~passing(frequent, words)), p.total)
-        to_rare = rare[np.searchsorted(rare, every)] - every
-        size = np.minimum(np.minimum(p.left, to_rare), LONGEST)
-        at = np.flatnonzero((size >= 2) & passing(heads, words))
-        order, first, n = _distinct(p.keys(at, size[at]))
+        rare = np.append(np.flatnonzero(~passing(frequent, p.keys(every, 1))), p.total)
+        reach = np.minimum(np.minimum(p.left, rare[np.searchsorted(rare, every)] - every), longest)
+        at = np.flatnonzero(reach > size)
+        at = at[passing(prefixes, p.keys(at, size))]
+        order, first, n = _distinct(p.keys(at, reach[at]))
         at = at[order[first]]
-        yield at, [p.text(at, size[at]), pa.array(size[at]), pa.array(n)]
+        yield at, [p.text(at, reach[at]), pa.array(reach[at]), pa.array(n)]
 
-    grown = _over_pieces(texts, "phrase string, size bigint, f bigint", run)
-    grown = grown.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).withColumn("words", F.split("phrase", " "))
-    prefixes = grown.select("lang", "words", "f", F.explode(F.sequence(F.lit(2), F.col("size").cast("int"))).alias("size"))
+    grown = _over_pieces(texts, "phrase string, size bigint, f bigint", run).groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
+    if longest == size + 1:
+        return grown
+    parts = grown.withColumn("words", F.split("phrase", " "))
+    parts = parts.select("lang", "words", "f", F.explode(F.sequence(F.lit(size + 1), F.col("size").cast("int"))).alias("size"))
     phrase = F.array_join(F.slice("words", F.lit(1), F.col("size")), " ")
-    return prefixes.groupBy("lang", phrase.alias("phrase"), "size").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+    return parts.groupBy("lang", phrase.alias("phrase"), F.col("size").cast("long").alias("size")).agg(F.sum("f").alias("f"))
+
+
+def grow(texts: DataFrame, heads: DataFrame, frequent: tuple, least: int) -> DataFrame:
+    """(lang, phrase, size, a, n) of all phrases that begin with one of ``heads`` (lang, phrase, n) and occur ``least`` times or more.
+
+    Words grow to pairs, pairs that are frequent to triples, and frequent triples to four and five words at once.
+    """
+    grown, prefixes = [], heads
+    for size, longest in ((1, 2), (2, 3), (3, LONGEST)):
+        wanted = bit_filter(keyed(prefixes), prefixes.count(), bits_per_key=32, slices_of_key=2)
+        new = _grown_from(texts, wanted, size, frequent, longest).filter(F.col("f") >= least)
+        exact = prefixes.select("lang", F.col("phrase").alias("prefix"), "n")
+        new = new.withColumn("prefix", F.expr(f"substring_index(phrase, ' ', {size})")).join(exact, ["lang", "prefix"])
+        prefixes = written(new.select("lang", "phrase", "size", F.col("f").alias("a"), "n"), "grown")
+        grown.append(prefixes)
+        if prefixes.isEmpty():
+            break
+    rows = grown[0]
+    for more in grown[1:]:
+        rows = rows.unionByName(more)
+    return rows
 
 
 def keyed(phrases: DataFrame) -> DataFrame:
@@ -294,24 +316,21 @@ def mine(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = 1
     octaves = written(octaves, "octaves")
 
     edges = octaves.groupBy("lang").agg((F.min("octave") - 1).alias("edge"), F.lit(None).cast("long").alias("settled_score"))
-    grown = seen = None
-    rows = None
+    grown = seen = rows = None
+    open_phrases = False
     for turn in range(1000):
         # grow the next first words of each language that may still hold better phrases
         ahead = octaves.join(edges, "lang").filter("octave > edge and (settled_score is null or bound >= settled_score)")
-        budget = F.greatest(F.col("n") * (ROUND_SHARE * 8**turn), F.lit(float(ROUND_WORDS) * 8**turn))
+        budget = F.greatest(F.col("n") * (ROUND_SHARE * 4**turn), F.lit(float(ROUND_WORDS) * 4**turn))
         following = F.min("octave").over(Window.partitionBy("lang"))
         chosen = ahead.withColumn("following", following).filter((F.col("so_far") <= budget) | (F.col("octave") == F.col("following")))
         chosen = written(chosen.select("lang", "octave"), "grown-octaves")
         growing = not chosen.isEmpty()
         if growing:
             heads = written(frequent.join(chosen, ["lang", "octave"], "left_semi"), "grown-words")
-            new = grow(texts, bit_filter(keyed(heads), heads.count()), frequent_words, least)
-            exact = heads.select("lang", F.col("phrase").alias("head"), "n")
-            new = new.withColumn("head", F.substring_index("phrase", " ", 1)).join(exact, ["lang", "head"])
-            new = written(new.select("lang", "phrase", "size", F.col("f").alias("a"), "n"), "grown")
+            new = grow(texts, heads, frequent_words, least)
             grown = new if grown is None else grown.unionByName(new)
-        elif grown is None:
+        elif grown is None or (turn and not open_phrases):
             break
         known = frequent.select("lang", "phrase", "f").unionByName(grown.select("lang", "phrase", F.col("a").alias("f")))
         none = grown.select("lang", "phrase", F.col("a").alias("f"), F.lit(None).cast("boolean").alias("framed")).limit(0)
@@ -329,8 +348,6 @@ def mine(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = 1
         reached = octaves.select("lang").distinct().join(chosen.groupBy("lang").agg(F.max("octave").alias("to")), "lang", "left")
         edges = edges.select("lang", "edge").join(reached, "lang").join(last, "lang", "left")
         edges = written(edges.select("lang", F.coalesce("to", "edge").alias("edge"), "settled_score"), "edges")
-        if not growing and not open_phrases:
-            break
     if rows is None:
         rows = words.limit(0).selectExpr(
             "lang", "phrase", "1L as size", "f as a", "f as l", "f as r", "f as n", "f as score"
