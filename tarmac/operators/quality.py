@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.functions.numbers import safe_divide
 from tarmac.schemas import NATURAL_KEY, RAW_CAUSES
@@ -75,6 +76,27 @@ def unique(table: str, df: DataFrame, *columns: str) -> DataFrame:
     return _tidy(table, repeated.agg(F.count(F.lit(1)).alias(name)), [name])
 
 
+def _digest(column: str, kind: T.DataType) -> Column:
+    """A value's own text while it is short, else its SHA-256, so that equal digests mean equal values."""
+    text = F.col(column).cast("string")
+    if not isinstance(kind, T.StringType):
+        return text
+    return F.when(F.octet_length(text) < 64, text).otherwise(F.sha2(text, 256))
+
+
+def unique_columns(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
+    """Values of each column that occur more than once, all columns in one aggregate; NULL is not checked.
+
+    Each row unfolds to its (column, value) pairs, which are counted together and combined before the shuffle.
+    """
+    pairs = [
+        F.struct(F.lit(i).alias("place"), _digest(c, df.schema[c].dataType).alias("value")) for i, c in enumerate(columns)
+    ]
+    values = df.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*").filter("value is not null")
+    repeated = values.groupBy("place", "value").count().filter("count > 1")
+    return _tidy(table, repeated.agg(*[F.count_if(F.col("place") == i).alias(c) for i, c in enumerate(columns)]), columns)
+
+
 def numeric(table: str, df: DataFrame, column: str) -> DataFrame:
     """Rows whose text is not a whole number; NULL is not checked."""
     text = F.col(column)

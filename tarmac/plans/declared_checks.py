@@ -127,11 +127,7 @@ def not_null_checks(tables: Warehouse) -> DataFrame:
 
 def unique_checks(tables: Warehouse) -> DataFrame:
     return quality.union_rows(
-        [
-            quality.unique(table, getattr(tables, table), column)
-            for table, columns in UNIQUE.items()
-            for column in columns
-        ]
+        [quality.unique_columns(table, getattr(tables, table), columns) for table, columns in UNIQUE.items()]
     )
 
 

@@ -19,6 +19,7 @@ from tarmac.sources.tables import fresh_folder
 
 AS_OF = dt.datetime(2024, 3, 1)
 LOADED_AT = dt.datetime(2024, 1, 15)
+FIRST_MONTH = dt.date(2019, 1, 1)
 
 WarehouseQuery = Callable[[Warehouse], DataFrame]
 
@@ -31,8 +32,11 @@ def _without_stamp(df: DataFrame) -> DataFrame:
 
 
 def _filing_month(on_time: bool):
-    """Month whose file a flight is found in: its own, or for late filing the next one when it has no clock time."""
-    own = F.trunc("FL_DATE", "month")
+    """Month whose file a flight is found in: its own, or for late filing the next one when it has no clock time.
+
+    A flight without a date is in the file of its year and month, or else in the first.
+    """
+    own = F.coalesce(F.trunc("FL_DATE", "month"), F.trunc(F.make_date("YEAR", "MONTH", F.lit(1)), "month"), F.lit(FIRST_MONTH))
     return own if on_time else F.when(F.col("CRS_DEP_TIME").isNull(), F.add_months(own, 1)).otherwise(own)
 
 
@@ -67,8 +71,19 @@ def land_flights(raw: DataFrame, on_time: bool = True) -> str:
     return folder
 
 
+_landed: dict[tuple, str] = {}
+
+
+def landed(w: Warehouse, on_time: bool = True) -> str:
+    """The folder of a warehouse's landed files; the landing queries of a session share one for each way of filing."""
+    key = (w.spark.sparkContext.applicationId, w.name, on_time)
+    if w.name is None or key not in _landed:
+        _landed[key] = land_flights(w.raw_flights, on_time)
+    return _landed[key]
+
+
 def _landed_cells(w: Warehouse, on_time: bool = True) -> DataFrame:
-    return landing.read_month_files(w.spark, landing.month_files(w.spark, land_flights(w.raw_flights, on_time)))
+    return landing.read_month_files(w.spark, landing.month_files(w.spark, landed(w, on_time)))
 
 
 def ingest_flights(w: Warehouse) -> DataFrame:
@@ -77,17 +92,16 @@ def ingest_flights(w: Warehouse) -> DataFrame:
 
 def months_to_load(w: Warehouse) -> DataFrame:
     """Months of the landed files that a table loaded up to 2020 still lacks."""
-    files = landing.month_files(w.spark, land_flights(w.raw_flights))
-    loaded = w.raw_flights.filter(F.col("FL_DATE") < F.lit(dt.date(2021, 1, 1)))
-    return landing.months_to_load(files, landing.table_months(loaded)).select("year", "month", "filename")
+    files = landing.month_files(w.spark, landed(w))
+    before = w.raw_flights.filter(F.col("FL_DATE") < F.lit(dt.date(2021, 1, 1)))
+    return landing.months_to_load(files, landing.table_months(before)).select("year", "month", "filename")
 
 
 def load_append(w: Warehouse) -> DataFrame:
     """Rows per month and file after two loads, the second of which skips the months of the first."""
     table = fresh_folder(w.spark, "raw-flights")
-    before = F.col("FL_DATE") < F.lit(dt.date(2021, 1, 1))
-    landing.load_months(w.spark, land_flights(w.raw_flights.filter(before)), table, LOADED_AT)
-    landing.load_months(w.spark, land_flights(w.raw_flights), table, LOADED_AT)
+    landing.load_months(w.spark, landed(w), table, LOADED_AT, years=(2019, 2020))
+    landing.load_months(w.spark, landed(w), table, LOADED_AT)
     return (
         w.spark.read.parquet(table)
         .groupBy("YEAR", "MONTH", "_source_file")
@@ -97,7 +111,7 @@ def load_append(w: Warehouse) -> DataFrame:
 
 def load_reconcile(w: Warehouse) -> DataFrame:
     table = fresh_folder(w.spark, "raw-flights")
-    return landing.load_months(w.spark, land_flights(w.raw_flights, on_time=False), table, LOADED_AT).drop("error", "uploaded_at")
+    return landing.load_months(w.spark, landed(w, on_time=False), table, LOADED_AT).drop("error", "uploaded_at")
 
 
 def load_lookups(w: Warehouse) -> DataFrame:
@@ -120,7 +134,7 @@ def file_month_check(w: Warehouse) -> DataFrame:
 
 
 def missing_files(w: Warehouse) -> DataFrame:
-    found = landing.month_files(w.spark, land_flights(w.raw_flights))
+    found = landing.month_files(w.spark, landed(w))
     return landing.missing_files(landing.expected_months(w.spark), found)
 
 

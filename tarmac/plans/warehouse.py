@@ -40,8 +40,10 @@ class Warehouse:
     """The tables over one set of raw tables, each built on first use."""
 
     def __init__(
-        self, raw_flights: DataFrame, raw_airlines: DataFrame, raw_airports: DataFrame, as_of: dt.datetime
+        self, raw_flights: DataFrame, raw_airlines: DataFrame, raw_airports: DataFrame, as_of: dt.datetime,
+        name: str | None = None,
     ) -> None:
+        self.name = name  # what the tables were read from, if that says it all
         self.raw_flights = raw_flights
         self.raw_airlines = raw_airlines
         self.raw_airports = raw_airports
@@ -55,6 +57,7 @@ class Warehouse:
             driver_tables.raw_airlines(spark, sf_dir),
             driver_tables.raw_airports(spark, sf_dir),
             as_of,
+            sf_dir,
         )
 
     @cached_property

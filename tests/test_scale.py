@@ -143,3 +143,49 @@ def test_a_cluster_must_name_its_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         tables.shared_folder(Cluster())
+
+
+@pytest.mark.parametrize(("master", "warehouse", "fine"), [
+    ("yarn", "file:/tmp/warehouse", False), ("local-cluster[2,1,1024]", "/tmp/warehouse", False),
+    ("yarn", "hdfs://name/warehouse", True), ("local[4]", "/tmp/warehouse", True), ("local", "file:/tmp/warehouse", True),
+])
+def test_a_local_warehouse_is_for_a_local_master(master, warehouse, fine):
+    class Session:
+        conf = {"spark.sql.warehouse.dir": warehouse}
+
+        class sparkContext:  # noqa: N801
+            pass
+
+    Session.sparkContext.master = master
+    if fine:
+        assert tables.shared_folder(Session()) == f"{warehouse}/_intermediate"
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            tables.shared_folder(Session())
+
+
+def test_a_carrier_is_in_few_files_of_a_split_month(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    raw = driver_tables.raw_flights(spark, SF_DIR).withColumn("FL_DATE", F.lit(dt.date(2019, 8, 5))).repartition(8)
+    tables.write_monthly(
+        raw, str(tmp_path / "t"), F.col("FL_DATE"), ["OP_UNIQUE_CARRIER", "ORIGIN", "DEST"], "append", rows_per_file=1500
+    )
+    files = list((tmp_path / "t").glob("*/*.parquet"))
+    spans = []
+    for file in files:
+        groups = pq.ParquetFile(file).metadata
+        column = groups.schema.to_arrow_schema().get_field_index("OP_UNIQUE_CARRIER")
+        stats = [groups.row_group(i).column(column).statistics for i in range(groups.num_row_groups)]
+        spans.append((min(s.min for s in stats), max(s.max for s in stats)))
+    assert len(files) >= 30
+    for carrier in ("AA", "DL", "UA", "WN"):
+        assert sum(low <= carrier <= high for low, high in spans) <= len(files) / 4
+    assert spark.read.parquet(str(tmp_path / "t")).count() == raw.count()
+
+
+def test_a_hot_combination_is_dealt_to_several_files(spark):
+    rows = spark.range(1000).selectExpr("date'2019-01-01' as m", "if(id < 900, null, 'AA') as c", "'X' as o", "id")
+    dealt = tables.dealt_to_files(rows, "m", ["c", "o"], 100)
+    counts = [r["count"] for r in dealt.groupBy("_file").count().collect()]
+    assert sum(counts) == 1000 and max(counts) < 250 and len(counts) >= 9
