@@ -73,21 +73,43 @@ class Remembered:
         return self.young
 
 
+def free_name(columns: list[str], base: str) -> str:
+    """``base``, with underscores before it until no column has that name in any case."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base = "_" + base
+    return base
+
+
 def bounded_sample(keys: DataFrame, docs: DataFrame, doc_id: str, text: str, max_rows: int, max_bytes: int) -> list:
     """Texts of a sample of each stratum, the same ones on each run, as rows of id, stratum, all of ``docs``.
 
-    ``keys`` has the columns id and stratum. Of each stratum the first ``max_rows``
-    ids in the order of a hash are looked up, and of these texts as many as come to
-    ``max_bytes`` UTF-8 bytes; null texts and those above a hundredth of it are passed over
-    whole. Only the keys are ordered; the texts are read once and not moved, since
-    at most ``max_rows`` keys a stratum are broadcast.
+    ``keys`` has the columns id and stratum, of which there are few kinds. Only documents with any text but blanks
+    are considered. Of each stratum the first ``max_rows`` ids in the order of a hash are taken, with one
+    row each (the one of the smallest text where an id repeats), and of these as many as come to ``max_bytes`` UTF-8 bytes.
+    Of a text above a hundredth of it a piece from its middle is learned. Each task
+    keeps no more than ``max_rows`` ids of a stratum before they meet; texts are read where they lie.
     """
+    usable = docs.filter(F.col(text).rlike(r"[^\x20\x09-\x0D]")).select(F.col(doc_id).alias("_id")).distinct()
     keyed = keys.select(F.col("id"), F.col("stratum"), F.xxhash64(F.col("id").cast("string"), F.lit(11)).alias("_order"))
-    rank = F.row_number().over(Window.partitionBy("stratum").orderBy("_order", "id"))
-    chosen = keyed.withColumn("_rank", rank).filter(F.col("_rank") <= max_rows)
-    rows = docs.join(F.broadcast(chosen.drop("_rank")), docs[doc_id] == F.col("id"))
-    rows = rows.withColumn("_bytes", F.octet_length(text)).filter(F.col("_bytes") <= max_bytes // 100)
-    running = Window.partitionBy("stratum").orderBy("_order", "id", text).rowsBetween(Window.unboundedPreceding, 0)
+    keyed = keyed.join(usable, F.col("id") == F.col("_id"), "left_semi")
+    firsts = [
+        keyed.filter(F.col("stratum") == row["stratum"]).orderBy("_order", "id").limit(max_rows)
+        for row in keys.select("stratum").distinct().orderBy("stratum").collect()
+    ]
+    if not firsts:
+        return []
+    chosen = firsts[0]
+    for more in firsts[1:]:
+        chosen = chosen.unionByName(more)
+    rows = docs.filter(F.col(text).rlike(r"[^\x20\x09-\x0D]")).join(F.broadcast(chosen), docs[doc_id] == F.col("id"))
+    most, length, size = max_bytes // 100, F.length(text), F.octet_length(text)
+    kept = F.floor(length * (most / size)).cast("int")
+    middle = F.substring(F.col(text), (F.floor((length - kept) / 2) + 1).cast("int"), kept)
+    rows = rows.withColumn(text, F.when(size <= most, F.col(text)).otherwise(middle))
+    one = rows.groupBy("id", "stratum", "_order").agg(F.min(F.struct(text, *[c for c in docs.columns if c != text])).alias("_row"))
+    rows = one.select("id", "stratum", "_order", "_row.*").withColumn("_bytes", F.octet_length(text))
+    running = Window.partitionBy("stratum").orderBy("_order", "id").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_total", F.sum("_bytes").over(running)).filter(F.col("_total") <= max_bytes)
     return rows.orderBy("_order", "stratum", text).collect()
 

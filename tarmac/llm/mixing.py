@@ -189,16 +189,10 @@ def mix_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
     return rows.select(doc_id, F.col("_size").alias("size"), "source_size", "target", taken.alias("taken"))
 
 
-def _first_words(text: Column, count: Column) -> Column:
-    """The text up to the end of its n-th word; only cut documents, one per source, come here."""
-    words = F.slice(F.regexp_extract_all(text, F.lit(f"([\\x20\\x09-\\x0D]*{WORD_PATTERN})")), F.lit(1), count.cast("int"))
-    return F.array_join(words, "")
-
-
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: the rows' own columns, once for each time a row is taken, plus mix_epoch and mix_shard.
 
-    A document in which a source's target ends is cut after its last word taken.
+    A document in which a source's target ends comes whole or not at all, whichever is nearer to the target.
     Rows of a shard stand together, in an order shuffled by a hash of id, epoch
     and shard. Reruns give the same rows in the same shards.
     """
@@ -206,9 +200,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     own = [c for c in docs.columns if c not in ("mix_epoch", "mix_shard")]
     held = docs.select(F.struct(*own).alias("_row"), F.col(doc_id).alias("_id"), F.col(text).alias("_text"), F.col(source).alias("_from"))
     rows = _with_draws(_sized(held, "_id", "_text", "_from"), plan, drawn)
-    rows = rows.withColumn("_draw", F.explode("_draws"))
-    part = F.when(F.col("_draw.words") < F.col("_size"), _first_words(F.col("_text"), F.col("_draw.words"))).otherwise(F.col("_text"))
-    kept = F.struct(*(part.alias(c) if c == text else F.col("_row")[c].alias(c) for c in own))
-    out = rows.select(kept.alias("_out"), "_place", F.col("_draw.epoch").alias("mix_epoch"), F.col("_draw.shard").alias("mix_shard"))
+    rows = rows.withColumn("_draw", F.explode("_draws")).filter(2 * F.col("_draw.words") >= F.col("_size"))
+    out = rows.select(F.col("_row").alias("_out"), "_place", F.col("_draw.epoch").alias("mix_epoch"), F.col("_draw.shard").alias("mix_shard"))
     dealt = out.repartition("mix_shard").sortWithinPartitions("mix_shard", F.xxhash64("_place", "mix_epoch", "mix_shard"))
     return dealt.select("_out.*", "mix_epoch", "mix_shard")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import with_columns_from_text
+from tarmac.llm.common import free_name, with_columns_from_text
 
 #: Kinds in the order in which spans with the same start are listed; the first three are the plain patterns.
 KINDS = ("assign", "access", "hex", "pem", "token", "der", "ssh")
@@ -280,6 +280,7 @@ def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> Dat
         lengths = [None if x is None else len(x) for x in texts]
         return [pa.array(texts, pa.string()), pa.array(lengths, pa.int64())]
 
-    held = docs.withColumnRenamed(text, "_text")
-    out = with_columns_from_text(held, "_text", {text: "string", n_chars: "bigint"}, run)
+    name = free_name(docs.columns, "_text")
+    held = docs.withColumnRenamed(text, name)
+    out = with_columns_from_text(held, name, {text: "string", n_chars: "bigint"}, run)
     return out.select(*docs.columns)

@@ -151,7 +151,24 @@ def test_mix_takes_each_target_and_repeats(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, mixing.mix_counts(docs.repartition(5)).collect()))
     mixed = mixing.mix(docs)
     words = mixed.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(common.WORD_PATTERN))).alias("w")).collect()
-    assert {r.source: r.w for r in words} == {r.source: r.t for r in by_source if r.t}
+    target = {r.source: r.t for r in by_source if r.t}
+    longest = max(r["size"] for r in rows)
+    assert {r.source for r in words} == set(target) and all(abs(r.w - target[r.source]) <= longest / 2 for r in words)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert all(r.text == texts[r.doc_id] for r in mixed.collect())  # documents come whole
+
+
+def test_learning_rows_are_usable_ones_and_pieces_of_long_ones(spark):
+    rows = [(i, None if i % 2 else "x" * 3000, 1) for i in range(300)] + [(1000 + i, f"good {i}", 1) for i in range(5)]
+    rows += [(2000 + i, "other " * 30, 0) for i in range(9)] + [(2000, "again", 0)] * 3
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    keys = spark.createDataFrame(list({(r[0], r[2]) for r in rows}), "id long, stratum int")
+    taken = common.bounded_sample(keys, docs, "doc_id", "text", 160, 100_000)
+    by_label = {k: [r.text for r in taken if r.stratum == k] for k in (0, 1)}
+    assert len(by_label[0]) == 9 and "again" in by_label[0]
+    assert len([x for x in by_label[1] if x == "x" * 1000]) >= 95 and sum(map(len, by_label[1])) <= 100_000
+    nothing = spark.createDataFrame([], keys.schema)
+    assert common.bounded_sample(nothing, docs, "doc_id", "text", 5, 5000) == []
 
 
 def test_mix_of_odd_rows(spark):

@@ -73,6 +73,23 @@ def test_rows_of_one_id_remove_only_their_likes(spark):
     assert classes == {(None, 5, True), (3, 3, True), (5, 5, True), (7, 3, False), (7, 7, True), (7, 7, False), (9, 7, False)}
 
 
+def test_stages_on_odd_and_empty_tables(spark):
+    from test_operators import empty_docs, odd_docs
+
+    names = ["row", "judged", "id", "mark", "place", "read", "_text", "_judged", "_mark", "_first", "predicted"]
+    for docs in (odd_docs(spark), empty_docs(spark)):
+        docs = docs.selectExpr("*", *[f"concat('own ', '{n}') as {n}" for n in names])
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            rows = out.collect()
+            if name != "encode":
+                assert out.columns == docs.columns
+                assert all(r[n] == f"own {n}" for r in rows for n in names)
+            if name == "secrets":
+                assert len(rows) == docs.count()
+            assert docs.count() or not rows
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0 and out.filter("not restored").count() == 0
