@@ -259,6 +259,8 @@ QUALITY = {
     """,
     "dq_scorecard": f"""
         select check_name, dimension, result, if(ok, 'PASS', 'FAIL') as status,
+            case check_name when 'Delay cause sum matches ARR_DELAY_NEW' then 'Small differences come from rounding.'
+                when 'Natural key has no duplicates' then 'Above 0, look at diverted flights and entry errors.' else '' end as note,
             (count(*) filter (ok) over ()) as passed_checks, (count(*) filter (not ok) over ()) as failed_checks
         from (
             {_all([
@@ -268,7 +270,8 @@ QUALITY = {
             ])}
             union all
             select 'Delay cause sum matches ARR_DELAY_NEW', 'Consistency',
-                count(*) filter ({_CAUSE_GAP}) || ' records with diff > 5 min',
+                concat_ws(' ', count(*) filter ({_CAUSE_GAP}), 'records with diff > 5 min',
+                    '(' || cast(round(100 * (count(*) filter ({_CAUSE_GAP}) / nullif(count(*), 0)), 1) as decimal(5,1)) || '% of delayed flights)'),
                 coalesce(count(*) filter ({_CAUSE_GAP}) / nullif(count(*), 0) < 0.05, false)
             from raw_flights where ARR_DEL15 = 1 and CARRIER_DELAY is not null
             union all

@@ -152,6 +152,12 @@ def natural_key_dups(raw: DataFrame) -> DataFrame:
     return repeats.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("duplicate_rows"))
 
 
+SCORECARD_NOTES = {
+    "Delay cause sum matches ARR_DELAY_NEW": "Small differences come from rounding.",
+    "Natural key has no duplicates": "Above 0, look at diverted flights and entry errors.",
+}
+
+
 def scorecard(raw: DataFrame) -> DataFrame:
     """Ten checks in five dimensions with their result and the totals.
 
@@ -176,6 +182,8 @@ def scorecard(raw: DataFrame) -> DataFrame:
     def counted(column: str, unit: str) -> Column:
         return F.concat_ws(" ", c(column), F.lit(unit))
 
+    percent_off = F.round(100 * c("cause_gap_share"), 1).cast("decimal(5,1)").cast("string")
+    gap_share = F.concat(F.lit("("), percent_off, F.lit("% of delayed flights)"))
     checks = [
         ("FL_DATE has no nulls", "Completeness", counted("null_FL_DATE", "nulls"), c("null_FL_DATE") == 0),
         ("OP_UNIQUE_CARRIER has no nulls", "Completeness", counted("null_OP_UNIQUE_CARRIER", "nulls"),
@@ -187,7 +195,8 @@ def scorecard(raw: DataFrame) -> DataFrame:
         ("CANCELLED flag is binary", "Validity", counted("bad_cancelled", "invalid records"), c("bad_cancelled") == 0),
         ("ARR_DEL15 flag is binary where not null", "Validity", counted("bad_late_flag", "invalid records"),
          c("bad_late_flag") == 0),
-        ("Delay cause sum matches ARR_DELAY_NEW", "Consistency", counted("cause_gap", "records with diff > 5 min"),
+        ("Delay cause sum matches ARR_DELAY_NEW", "Consistency",
+         F.concat_ws(" ", "cause_gap", F.lit("records with diff > 5 min"), gap_share),
          F.coalesce(c("cause_gap_share") < 0.05, F.lit(False))),
         ("Natural key has no duplicates", "Uniqueness", counted("repeats", "duplicates found"), c("repeats") == 0),
         ("Date range matches expected period", "Timeliness", F.concat_ws(" to ", c("first"), c("last")), F.lit(True)),
@@ -201,6 +210,7 @@ def scorecard(raw: DataFrame) -> DataFrame:
                     F.lit(dimension).alias("dimension"),
                     result.alias("result"),
                     F.when(ok, "PASS").otherwise("FAIL").alias("status"),
+                    F.lit(SCORECARD_NOTES.get(name, "")).alias("note"),
                 )
                 for name, dimension, result, ok in checks
             ]

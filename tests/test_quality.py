@@ -46,6 +46,11 @@ def test_scorecard_totals(spark):
     ]
     assert {(r["passed_checks"], r["failed_checks"]) for r in card.values()} == {(6, 4)}
     assert card["Natural key has no duplicates"]["result"] == "1 duplicates found"
+    assert card["Natural key has no duplicates"]["note"] and not card["CANCELLED flag is binary"]["note"]
+    causes = dict.fromkeys(["WEATHER_DELAY", "NAS_DELAY", "SECURITY_DELAY", "LATE_AIRCRAFT_DELAY"], 0.0)
+    late = raw_flight(ARR_DEL15=1.0, ARR_DELAY_NEW=30.0, CARRIER_DELAY=30.0, **causes)
+    gap = by(quality.scorecard(raw_flights(spark, [late, late, late | {"CARRIER_DELAY": 10.0}])), "check_name")
+    assert gap["Delay cause sum matches ARR_DELAY_NEW"]["result"] == "1 records with diff > 5 min (33.3% of delayed flights)"
 
 
 def test_all_checks_over_a_small_warehouse(spark):
