@@ -22,7 +22,8 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql_counterparts(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    for view in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {view} AS SELECT * FROM '{SF}/{view}.parquet'")
     expected = con.execute(queries.oracle_sql()[name])
     names = [d[0] for d in expected.description]
     rows = sorted(expected.fetchall())
