@@ -48,6 +48,7 @@ def _has(name: str, column: str) -> bool:
 
 
 MODELS = {name: _table(name) for name in _ISO} | {
+    "route_stats_merged": _table("route_stats"),
     "dim_carrier": _table("dim_carrier"),
     "dim_route": _table("dim_route"),
     "dim_date": f"""

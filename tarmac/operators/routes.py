@@ -1,6 +1,6 @@
 """Monthly statistics per carrier and route.
 
-Only ``route_month_stats`` reads flights. Everything after it works on one row
+Only ``delay_counts`` reads flights. Everything after it works on one row
 per carrier, route and month, whose number does not grow with the flights.
 """
 
@@ -28,6 +28,8 @@ ROUTE_COLUMNS = [
 ]
 ROUTE_MONTH = ["carrier_code", "route_key", "month_start"]
 CAUSE_TOTALS = [f"total_{name}_delay_min" for name in CAUSE_NAMES]
+MINUTE_TOTALS = [*CAUSE_TOTALS, "total_delay_minutes"]
+COUNT_KEYS = ["month_start", *ROUTE_COLUMNS, "arr_delay_minutes"]
 COUNTS = ["total_operated_flights", "delayed_flights", "on_time_flights", "flights_with_valid_arr_delay"]
 
 
@@ -63,37 +65,48 @@ def calendar_month_attributes(months: DataFrame) -> DataFrame:
     )
 
 
-def route_month_stats(flights: DataFrame) -> DataFrame:
-    """Volume, punctuality, delay and cause totals per route and month, operated flights only.
+def delay_counts(flights: DataFrame) -> DataFrame:
+    """Operated flights and their totals per route, month and distinct arrival delay.
 
-    The median is exact: flights are first counted per distinct delay, which
-    combines before the shuffle and leaves at most a few thousand rows per
-    route-month however many flights it has, and a running count over those
-    finds the middle.
+    This combines before the shuffle and leaves at most a few thousand rows per
+    route-month however many flights it has. All of it are sums, so counts of
+    several loads can be kept apart and merged later.
     """
-    c = F.col
-    keys = ["month_start", *ROUTE_COLUMNS]
-    delay = c("arr_delay_minutes")
-    total_names = [*CAUSE_TOTALS, "total_delay_minutes"]
     sources = [*[f"{name}_delay_minutes" for name in CAUSE_NAMES], "total_cause_minutes"]
-
-    per_delay = (
+    return (
         with_month(flights)
-        .groupBy(*keys, "arr_delay_minutes")
+        .groupBy(*COUNT_KEYS)
         .agg(
             F.count(F.lit(1)).alias("flights"),
             F.count_if("is_arr_delayed").alias("delayed"),
             F.count_if("is_on_time").alias("on_time"),
-            *[F.sum(or_zero(c(s))).alias(t) for s, t in zip(sources, total_names, strict=True)],
+            *[F.sum(or_zero(F.col(s))).alias(t) for s, t in zip(sources, MINUTE_TOTALS, strict=True)],
             F.sum("distance_miles").alias("miles"),
             F.count("distance_miles").alias("measured"),
         )
-        .withColumn("timed", F.when(delay.isNotNull(), c("flights")).otherwise(0))
     )
+
+
+def merged_counts(counts: DataFrame) -> DataFrame:
+    """Counts of any number of loads, or parts of one, as those of all their flights."""
+    sums = [c for c in counts.columns if c not in COUNT_KEYS]
+    return counts.groupBy(*COUNT_KEYS).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def stats_from_counts(per_delay: DataFrame) -> DataFrame:
+    """Volume, punctuality, delay and cause totals per route and month, from one row per distinct delay.
+
+    The median is exact: a running count over the distinct delays finds the middle.
+    """
+    c = F.col
+    keys = ["month_start", *ROUTE_COLUMNS]
+    delay = c("arr_delay_minutes")
     group = Window.partitionBy(*keys)
-    counted = per_delay.withColumn(
-        "so_far", F.sum("timed").over(group.orderBy("arr_delay_minutes"))
-    ).withColumn("timed_in_all", F.sum("timed").over(group))
+    counted = (
+        per_delay.withColumn("timed", F.when(delay.isNotNull(), c("flights")).otherwise(0))
+        .withColumn("so_far", F.sum("timed").over(group.orderBy("arr_delay_minutes")))
+        .withColumn("timed_in_all", F.sum("timed").over(group))
+    )
 
     late_minutes = F.sum(F.when(c("delayed") > 0, delay * c("delayed")))
     late_flights = F.sum(F.when(delay.isNotNull(), c("delayed")))
@@ -109,12 +122,17 @@ def route_month_stats(flights: DataFrame) -> DataFrame:
             F.round(F.try_divide(late_minutes, late_flights), 2).alias("avg_arr_delay_delayed_only"),
             F.round(F.max(delay), 2).alias("max_arr_delay"),
             F.min(F.when((c("timed") > 0) & (c("so_far") * 2 >= c("timed_in_all")), delay)).alias("median_arr_delay"),
-            *[F.sum(t).alias(t) for t in total_names],
+            *[F.sum(t).alias(t) for t in MINUTE_TOTALS],
             F.round(F.try_divide(F.sum("miles"), F.sum("measured")), 2).alias("avg_distance_miles"),
         )
     )
 
 
+def route_month_stats(flights: DataFrame) -> DataFrame:
+    """The statistics of operated flights, counted and summed up in one plan."""
+    return stats_from_counts(delay_counts(flights))
+
+
 def route_month_spine(universe: DataFrame) -> DataFrame:
     """Every month between the first and last active month of each route."""
     months = F.sequence("first_month", "last_month", F.expr("interval 1 month"))

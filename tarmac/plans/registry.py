@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tarmac.operators import dimensions, facts, kpis, profiling, quality, questions, routes, verification
 from tarmac.plans import declared_checks
+from tarmac.plans.route_state import RouteState
 from tarmac.plans.warehouse import Warehouse
 from tarmac.schemas import FLIGHT_FILE_COLUMNS
 from tarmac.session import tune
@@ -138,6 +139,18 @@ def missing_files(w: Warehouse) -> DataFrame:
     return landing.missing_files(landing.expected_months(w.spark), found)
 
 
+def route_stats_merged(w: Warehouse) -> DataFrame:
+    """The route statistics from two loads, the second of which adds months and the late flights of an earlier one."""
+    state = RouteState(w.spark, fresh_folder(w.spark, "route-state"))
+    date = F.col("flight_date")
+    late = (F.trunc(date, "month") == F.lit(dt.date(2020, 6, 1))) & F.col("scheduled_dep_time_hhmm").isNull()
+    second = (date >= F.lit(dt.date(2021, 1, 1))) | late
+    for load, flights in (("first", w.operated.filter(~second)), ("second", w.operated.filter(second))):
+        state.add_load(load, flights)
+        state.refresh()
+    return state.route_stats()
+
+
 # --- registry -----------------------------------------------------------------
 
 MODELS: dict[str, WarehouseQuery] = {
@@ -154,6 +167,7 @@ MODELS: dict[str, WarehouseQuery] = {
     "route_otp_windows": lambda w: w.route_otp_windows,
     "route_worst_rank": lambda w: w.route_worst_rank,
     "route_stats": lambda w: w.route_stats,
+    "route_stats_merged": route_stats_merged,
     "dim_date": lambda w: _without_stamp(dimensions.flights_per_day(w.dim_date, w.fact_flights)),
     "dim_carrier": lambda w: _without_stamp(w.dim_carrier),
     "dim_airport": lambda w: w.dim_airport,
