@@ -171,6 +171,67 @@ def test_learning_rows_are_usable_ones_and_pieces_of_long_ones(spark):
     assert common.bounded_sample(nothing, docs, "doc_id", "text", 5, 5000) == []
 
 
+def plain_mix(rows, seed):
+    """The draw made again without Spark, from rows of (id, size, place, order, source)."""
+    names = sorted({r[4] for r in rows}, key=lambda x: (x is None, x or ""))
+    words = [sum(r[1] for r in rows if r[4] == n) for n in names]
+    wanted = mixing.targets(words, [k % 3 + 1 for k in range(len(names))])
+    total = sum(words)
+    plan = [mixing.Share(k, w, t, max(1, math.floor(mixing.BLOCKS * w / total + 0.5)))
+            for k, (w, t) in enumerate(zip(words, wanted, strict=True)) if w * mixing.BLOCKS >= total]
+    blocks = {s.number: np.zeros(s.blocks, np.int64) for s in plan}
+    of = {n: k for k, n in enumerate(names)}
+    for _, size, place, _, name in rows:
+        if of[name] in blocks:
+            blocks[of[name]][place % len(blocks[of[name]])] += size
+    drawn = {(n, b): d for n, b, d in mixing._draw_plan(plan, blocks, {}, seed)[0]}
+    taken, before = {}, {}
+    for doc, size, place, _, name in sorted(rows, key=lambda r: (r[3], r[2], r[1])):
+        key = (of[name], place % len(blocks[of[name]]))
+        start = before.get(key, 0)
+        before[key] = start + size
+        taken[doc] = sum(size if cut is None else max(0, min(size, cut - start)) for _, _, cut in drawn.get(key, []))
+    return taken
+
+
+def test_mix_is_the_draw_of_its_tree(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 5000)
+    docs = common.table(spark, SF, "documents").select("doc_id", "text", "source")
+    sized = mixing._sized(docs, "doc_id", "text", "source").select("doc_id", "_size", "_place", "_order", "_source").collect()
+    found = {}
+    for seed in (1, 2):
+        found[seed] = {r.doc_id: r.taken for r in mixing.mix_counts(docs, seed=seed).collect()}
+        assert found[seed] == plain_mix([tuple(r) for r in sized], seed)
+    assert found[1] != found[2]
+    assert mixing.mix(docs, seed=1).select("mix_shard").distinct().count() > 1
+
+
+def test_mix_of_more_sources_than_blocks(spark):
+    n = 20_000
+    many = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") % 7 + 1).cast("int")).alias("text"),
+        F.format_string("site-%05d", "id").alias("source"),
+    )
+    rows = {r.doc_id: r for r in mixing.mix_counts(many).collect()}
+    sizes = [k % 7 + 1 for k in range(n)]
+    wanted = mixing.targets(sizes, [k % 3 + 1 for k in range(n)])
+    assert len(rows) == n
+    for k in range(n):
+        assert (rows[k].size, rows[k].source_size) == (sizes[k], sizes[k]) and rows[k].taken == int(rows[k].target)
+        assert rows[k].target == pytest.approx(wanted[k], rel=1e-12)
+    big = many.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "hot").otherwise(F.col("source")))
+    hot = mixing.mix_counts(big).filter("doc_id % 3 = 0").agg(F.sum("taken"), F.min("target"), F.max("target")).first()
+    assert hot[1] == hot[2] and hot[0] == int(hot[1])
+    assert mixing.mix(many).count() <= 3 * n
+
+
+@pytest.mark.parametrize("sizes", [[5], [0, 0], [1, 1000, 10**6], [3, 3, 3, 3]])
+def test_mix_targets_of_few_sources(spark, sizes):
+    rows = spark.createDataFrame([(k, s, k % 3 + 1) for k, s in enumerate(sizes)], "_source_no long, words long, weight int")
+    found = [r.target for r in mixing._with_targets(rows).orderBy("_source_no").collect()]
+    assert found == mixing.targets(sizes, [k % 3 + 1 for k in range(len(sizes))])
+
+
 def test_mix_of_odd_rows(spark):
     rows = mixing.mix_counts(odd_docs(spark)).collect()
     words = {k: len((x or "").encode().split()) for k, x in enumerate(ODD_TEXTS)}
