@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,6 +70,61 @@ def row_checks(table: str, df: DataFrame, columns: list[str], accepted: dict[str
     )
 
 
+class Derived(NamedTuple):
+    """A table that is a choice of rows and columns of another one, so that both are checked in one pass."""
+
+    columns: list[Column] | None = None  # all columns of the other table where None
+    member: Column | None = None  # all rows where None
+
+
+def _values_of(base: DataFrame, derived: Derived, wanted: list[str]) -> list[Column]:
+    """The wanted columns of a derived table as expressions over its base."""
+    if derived.columns is None:
+        return [F.col(c) for c in wanted]
+    by_name = dict(zip(base.select(*derived.columns).columns, derived.columns, strict=True))
+    return [by_name[c] for c in wanted]
+
+
+def shared_row_checks(
+    base: DataFrame,
+    tables: dict[str, Derived],
+    required: dict[str, list[str]],
+    accepted: dict[str, dict[str, list]],
+    by: list[str] | None = None,
+) -> DataFrame:
+    """Failures of the row checks of all tables that derive from ``base``, counted in one pass over it.
+
+    ``required`` and ``accepted`` hold the checks of each table. One row, or one per combination of ``by``;
+    a column ``kind:table:column`` for each check.
+    """
+    values, failures = [F.col(c) for c in by or []], {}
+    for table, derived in tables.items():
+        conditions = {"not_null": _missing(required.get(table, [])), "accepted_values": _outside(accepted.get(table, {}))}
+        wanted = sorted({c for kind in conditions.values() for c in kind})
+        place = {c: f"{table}:{c}" for c in wanted}
+        values += [v.alias(place[c]) for c, v in zip(wanted, _values_of(base, derived, wanted), strict=True)]
+        inside = f"{table}:"
+        values.append((F.lit(True) if derived.member is None else derived.member).alias(inside))
+        for c in required.get(table, []):
+            failures[f"not_null:{place[c]}"] = F.col(inside) & F.col(place[c]).isNull()
+        for c, allowed in accepted.get(table, {}).items():
+            failures[f"accepted_values:{place[c]}"] = F.col(inside) & ~F.col(place[c]).isin(allowed)
+    counts = [F.count_if(bad).alias(name) for name, bad in failures.items()]
+    return base.select(*values).groupBy(*by or []).agg(*counts)
+
+
+def check_rows(counts: DataFrame) -> DataFrame:
+    """One row per check of ``shared_row_checks``, over all its combinations, with the kind in ``check_name``."""
+    names = [c for c in counts.columns if c.count(":") == 2]
+    totals = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+    labels = ["check_name", "table_name", "column_name"]
+    rows = [
+        F.struct(*[F.lit(v).alias(k) for k, v in zip(labels, c.split(":"), strict=True)], F.col(c).alias("failures"))
+        for c in names
+    ]
+    return totals.select(F.inline(F.array(*rows))).withColumn("status", _status(F.col("failures")))
+
+
 def unique(table: str, df: DataFrame, *columns: str) -> DataFrame:
     """Values, or combinations of values, that occur more than once; NULL is not checked."""
     name = ", ".join(columns)
@@ -97,6 +153,21 @@ def unique_columns(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
     return _tidy(table, repeated.agg(*[F.count_if(F.col("place") == i).alias(c) for i, c in enumerate(columns)]), columns)
 
 
+def unique_in_all(base: DataFrame, tables: dict[str, Column | None], column: str) -> DataFrame:
+    """Values that occur more than once in each of the tables made of rows of ``base``, in one grouping; NULL is not checked.
+
+    ``tables`` gives the rows that belong to each, all where None. Rows are counted per value and table before the shuffle.
+    """
+    inside = {t: F.lit(True) if member is None else member for t, member in tables.items()}
+    rows = base.select(column, *[member.alias(f"in {t}") for t, member in inside.items()]).dropna(subset=[column])
+    times = rows.groupBy(column).agg(*[F.count_if(f"`in {t}`").alias(t) for t in tables])
+    counts = times.agg(*[F.count_if(F.col(t) > 1).alias(t) for t in tables])
+    found = F.inline(F.array(*[F.struct(F.lit(t).alias("table_name"), F.col(t).alias("failures")) for t in tables]))
+    return counts.select(found).select(
+        "table_name", F.lit(column).alias("column_name"), "failures", _status(F.col("failures")).alias("status")
+    )
+
+
 def numeric(table: str, df: DataFrame, column: str) -> DataFrame:
     """Rows whose text is not a whole number; NULL is not checked."""
     text = F.col(column)

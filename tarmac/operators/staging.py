@@ -13,8 +13,13 @@ from tarmac.schemas import NATURAL_KEY
 CAUSE_NAMES = ["carrier", "weather", "nas", "security", "late_aircraft"]
 
 
-def stage_flights(raw: DataFrame) -> DataFrame:
-    """One row per scheduled, non-diverted flight segment. Map-only."""
+def is_staged() -> Column:
+    """Whether a raw row is a scheduled, non-diverted flight segment."""
+    return F.col("DIVERTED").cast("double") != 1
+
+
+def staged_columns() -> list[Column]:
+    """The staged columns of a raw row."""
     c = F.col
 
     def number(source: str, name: str) -> Column:
@@ -31,7 +36,7 @@ def stage_flights(raw: DataFrame) -> DataFrame:
     causes = {name: c(f"{name.upper()}_DELAY").cast("double") for name in CAUSE_NAMES}
     total = sum((or_zero(m) for m in list(causes.values())[1:]), or_zero(causes["carrier"]))
 
-    return raw.filter(c("DIVERTED").cast("double") != 1).select(
+    return [
         surrogate_key(*map(c, NATURAL_KEY)).alias("flight_id"),
         c("FL_DATE").cast("date").alias("flight_date"),
         whole("YEAR", "flight_year"),
@@ -79,7 +84,12 @@ def stage_flights(raw: DataFrame) -> DataFrame:
         total.alias("total_cause_minutes"),
         c("_loaded_at").cast("timestamp").alias("loaded_at"),
         text("_source_file", "source_file"),
-    )
+    ]
+
+
+def stage_flights(raw: DataFrame) -> DataFrame:
+    """One row per scheduled, non-diverted flight segment. Map-only."""
+    return raw.filter(is_staged()).select(*staged_columns())
 
 
 def _newest(raw: DataFrame, key: Column) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tarmac.functions import labels
-from tarmac.operators import quality
+from tarmac.operators import dimensions, enrichment, quality, staging
+from tarmac.operators.quality import Derived
 from tarmac.plans.warehouse import Warehouse
+from tarmac.sources.tables import written_once
 
 # Fixed values -----------------------------------------------------------------
 YEARS = [2019, 2020, 2021, 2022, 2023]
@@ -119,22 +121,68 @@ RELATIONSHIPS = [
 # ------------------------------------------------------------------------------
 
 
+AIRPORT_ENDS = ["origin_airport_id", "origin_airport_code", "dest_airport_id", "dest_airport_code"]
+
+
+def _row_checks(tables: Warehouse, required: dict[str, list[str]], accepted: dict[str, dict[str, list]]) -> DataFrame:
+    """The given row checks, with the kind in ``check_name``.
+
+    Stored tables are read one by one. Otherwise tables that are made row by row of the same flights share a pass over
+    them: raw with staged flights, and enriched with delayed flights and the flight fact. The latter pass counts
+    per pair of airports and is written once, so that the airports in use come from it as well.
+    """
+    wanted = list(dict.fromkeys([*required, *accepted]))
+    parts = []
+    if not tables.stored:
+        raw = {"raw_flights": Derived(), "stg_flights": Derived(staging.staged_columns(), staging.is_staged())}
+        enriched = {
+            "flights_enriched": Derived(),
+            "delay_classified": Derived(enrichment.classified_columns(), enrichment.is_classified()),
+            "fact_flights": Derived(),
+        }
+        parts.append(quality.check_rows(quality.shared_row_checks(tables.raw_flights, raw, required, accepted)))
+        pairs = quality.shared_row_checks(tables.flights_enriched, enriched, required, accepted, by=AIRPORT_ENDS)
+        pairs = written_once(pairs, "checks-per-airports")
+        parts.append(quality.check_rows(pairs))
+        tables = _with_routes_written(tables, wanted)
+        tables.dim_airport = dimensions.dim_airport(tables.stg_airports, pairs)
+        wanted = [t for t in wanted if t not in raw and t not in enriched]
+    parts += [
+        quality.row_checks(table, getattr(tables, table), required.get(table, []), accepted.get(table, {}))
+        for table in wanted
+    ]
+    return quality.union_rows(parts)
+
+
+def _with_routes_written(tables: Warehouse, wanted: list[str]) -> Warehouse:
+    """The same tables, with route statistics written once where several of the wanted tables read them."""
+    shared = Warehouse(tables.raw_flights, tables.raw_airlines, tables.raw_airports, tables.as_of, tables.name)
+    shared.flights_enriched = tables.flights_enriched
+    if len({"route_stats", "dim_route", "fact_route_monthly"} & set(wanted)) > 1:
+        shared.route_stats = written_once(tables.route_stats, "route-stats")
+    return shared
+
+
 def not_null_checks(tables: Warehouse) -> DataFrame:
-    return quality.union_rows(
-        [quality.not_null(table, getattr(tables, table), columns) for table, columns in NOT_NULL.items()]
-    )
+    return _row_checks(tables, NOT_NULL, {}).drop("check_name")
 
 
 def unique_checks(tables: Warehouse) -> DataFrame:
-    return quality.union_rows(
-        [quality.unique_columns(table, getattr(tables, table), columns) for table, columns in UNIQUE.items()]
-    )
+    """Repeated values of each unique column; the tables made of enriched flights share one grouping by flight."""
+    parts, shared = [], {}
+    if not tables.stored:
+        shared = {"flights_enriched": None, "delay_classified": enrichment.is_classified(), "fact_flights": None}
+        parts = [quality.unique_in_all(tables.flights_enriched, shared, "flight_id")]
+    parts += [
+        quality.unique_columns(table, getattr(tables, table), columns)
+        for table, columns in UNIQUE.items()
+        if table not in shared
+    ]
+    return quality.union_rows(parts)
 
 
 def accepted_values_checks(tables: Warehouse) -> DataFrame:
-    return quality.union_rows(
-        [quality.accepted_values(table, getattr(tables, table), accepted) for table, accepted in ACCEPTED.items()]
-    )
+    return _row_checks(tables, {}, ACCEPTED).drop("check_name")
 
 
 def relationship_checks(tables: Warehouse) -> DataFrame:
@@ -148,15 +196,11 @@ def relationship_checks(tables: Warehouse) -> DataFrame:
 
 def all_checks(tables: Warehouse) -> DataFrame:
     """Every declared check as one table; the row checks of a table share one pass."""
-    by_row = [
-        quality.row_checks(table, getattr(tables, table), columns, ACCEPTED.get(table, {}))
-        for table, columns in NOT_NULL.items()
-    ]
     by_key = [
         checks(tables).selectExpr(f"'{kind}' as check_name", "*")
         for kind, checks in {"unique": unique_checks, "relationships": relationship_checks}.items()
     ]
-    return quality.union_rows([*by_row, *by_key])
+    return quality.union_rows([_row_checks(tables, NOT_NULL, ACCEPTED), *by_key])
 
 
 def grain_checks(tables: Warehouse) -> DataFrame:

@@ -49,6 +49,7 @@ class Warehouse:
         self.raw_airports = raw_airports
         self.as_of = as_of
         self.spark: SparkSession = raw_flights.sparkSession
+        self.stored = False  # whether the tables are read from where ``write`` put them
 
     @classmethod
     def of_driver_tables(cls, spark: SparkSession, sf_dir: str, as_of: dt.datetime) -> Warehouse:
@@ -173,5 +174,6 @@ class Warehouse:
                 overwrite_table(getattr(self, name), path)
             paths[name] = path
             schema = getattr(self, name).schema
-            setattr(self, name, self.spark.read.parquet(path).select(*schema.names))
+            setattr(self, name, self.spark.read.schema(schema).parquet(path).select(*schema.names))
+        self.stored = True
         return paths

@@ -59,3 +59,10 @@ def test_shared_aggregates_read_flights_once(spark):
         df.collect()
         final = physical(df).split("== Initial Plan ==")[0]
         assert scans_of_flights(final) <= 1, name
+
+
+@pytest.mark.parametrize(("name", "scans"), [("dq_not_null", 1), ("dq_accepted_values", 1), ("dq_unique", 3)])
+def test_declared_checks_share_their_passes(spark, name, scans):
+    """Beside these the passes over enriched flights and operated flights are written once."""
+    plan = physical(registry.queries()[name](spark, SF_DIR))
+    assert sum("FileScan" in line and "struct<l_" in line for line in plan.splitlines()) == scans

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from helpers import airlines, airports, by, lookup, raw_flight, raw_flights
+from pyspark.sql import functions as F
 
 from tarmac.operators import quality
 from tarmac.plans import declared_checks
@@ -68,3 +69,52 @@ def test_grain_checks_report_what_is_taken_for_granted(spark):
     w = Warehouse(raw_flights(spark, rows), airlines(spark), letters, AS_OF)
     found = by(declared_checks.grain_checks(w), "table_name")
     assert (found["raw_airports"]["failures"], found["route_stats"]["failures"]) == (1, 1)
+
+
+def test_shared_passes_count_what_each_table_holds(spark):
+    """Broken rows, a carrier listed twice, and the same checks table by table and on stored tables."""
+    rows = [
+        raw_flight(),
+        raw_flight(),
+        raw_flight(OP_CARRIER_FL_NUM=3, ARR_DEL15=1.0, ARR_DELAY=30.0, ARR_DELAY_NEW=30.0, DEST_AIRPORT_ID=None),
+        raw_flight(OP_CARRIER_FL_NUM=3, ARR_DEL15=1.0, ARR_DELAY=30.0, ARR_DELAY_NEW=30.0, CANCELLED=2.0),
+        raw_flight(OP_CARRIER_FL_NUM=4, DIVERTED=1.0, ORIGIN=None, CANCELLED=None),
+        raw_flight(OP_CARRIER_FL_NUM=5, ORIGIN_STATE_ABR=None, CANCELLATION_CODE="X", MONTH=13),
+    ]
+    twice = airlines(spark).unionByName(airlines(spark).withColumn("Code", F.concat(F.lit("9"), "Code")))
+    w = Warehouse(raw_flights(spark, rows), twice, airports(spark), AS_OF)
+    key = ("check_name", "table_name", "column_name")
+    found = by(declared_checks.all_checks(w), *key)
+    assert len(found) == 139
+    plain = {}
+    for table, columns in declared_checks.NOT_NULL.items():
+        accepted = declared_checks.ACCEPTED.get(table, {})
+        plain |= by(quality.row_checks(table, getattr(w, table), columns, accepted), *key)
+    for table, columns in declared_checks.UNIQUE.items():
+        counts = by(quality.unique_columns(table, getattr(w, table), columns), "column_name")
+        plain |= {("unique", table, c): r for c, r in counts.items()}
+    kinds = {kind: by(checks(w), "table_name", "column_name") for kind, checks in {
+        "not_null": declared_checks.not_null_checks, "accepted_values": declared_checks.accepted_values_checks,
+        "unique": declared_checks.unique_checks}.items()}
+    for (kind, table, column), r in plain.items():
+        expected = (r["failures"], r["status"])
+        assert (found[kind, table, column]["failures"], found[kind, table, column]["status"]) == expected
+        assert (kinds[kind][table, column]["failures"], kinds[kind][table, column]["status"]) == expected
+    assert found["not_null", "stg_flights", "dest_airport_id"]["failures"] == 1
+    assert found["unique", "flights_enriched", "flight_id"]["failures"] == 3
+    assert found["unique", "delay_classified", "flight_id"]["failures"] == 1
+
+
+def test_checks_of_stored_tables_read_what_is_stored(spark, tmp_path):
+    w = Warehouse(raw_flights(spark, [raw_flight(), raw_flight(OP_CARRIER_FL_NUM=2)]), airlines(spark), airports(spark), AS_OF)
+    w.write(str(tmp_path))
+    w.fact_flights = w.fact_flights.withColumn("route_key", F.lit(None).cast("string"))
+    found = by(declared_checks.not_null_checks(w), "table_name", "column_name")
+    assert found["fact_flights", "route_key"]["failures"] == 2
+    assert found["flights_enriched", "route_key"]["failures"] == 0
+
+
+def test_checks_of_no_flights(spark):
+    w = Warehouse(raw_flights(spark, []), airlines(spark), airports(spark), AS_OF)
+    found = by(declared_checks.all_checks(w), "check_name", "table_name", "column_name")
+    assert len(found) == 139 and {r["failures"] for r in found.values()} == {0}
