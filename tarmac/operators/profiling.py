@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.labels import CAUSES
 from tarmac.functions.numbers import bin_number, percent, safe_divide
+from tarmac.operators.quality import union_rows
 from tarmac.schemas import RAW_CAUSES
 
 KEY_COLUMNS = [
@@ -27,8 +28,19 @@ def _unfold(df: DataFrame, rows: list[dict[str, Column]]) -> DataFrame:
     return df.select(F.inline(F.array(*structs)))
 
 
-def schema_profile(raw: DataFrame) -> DataFrame:
-    """Type, NULL count and a sample value (the smallest) of every column, in one pass."""
+def schema_profile(raw: DataFrame, columns_at_once: int = 20) -> DataFrame:
+    """Type, NULL count and a sample value (the smallest) of every column.
+
+    Columns are taken some at a time, texts apart from the rest: a pass reads its own columns only, keeps
+    within what the JVM will compile, and the smallest of fixed-size values is found by a hash aggregate.
+    """
+    texts = [c for c, dtype in raw.dtypes if dtype == "string"]
+    others = [c for c in raw.columns if c not in texts]
+    passes = [part[i : i + columns_at_once] for part in (texts, others) for i in range(0, len(part), columns_at_once)]
+    return union_rows([_columns_profile(raw.select(*columns)) for columns in passes])
+
+
+def _columns_profile(raw: DataFrame) -> DataFrame:
     measured = raw.agg(
         _rows().alias("rows"),
         *[F.count(c).alias(f"{c}__n") for c in raw.columns],
