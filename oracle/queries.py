@@ -114,6 +114,23 @@ LANDING = {
         left join (select date_trunc('month', FL_DATE) as filed, count(*) as n from raw_flights group by filed)
             using (filed)
     """,
+    "load_audit": f"""
+        with flights as (
+            select {_FILED} as filed, date_trunc('month', FL_DATE) as flown from raw_flights
+        ),
+        loads as (select *, if(filed < date '2021-01-01', 1, 2) as load from flights),
+        files as (select filed, load, count(*) as csv_rows from loads group by all),
+        held as (
+            select files.filed, files.load, csv_rows, count(flown) as table_rows
+            from files left join loads on flown = files.filed and loads.load <= files.load
+            group by files.filed, files.load, csv_rows
+        )
+        select
+            year(filed) as year, month(filed) as month, strftime(filed, 'ontime_%Y_%m.csv') as filename, csv_rows,
+            table_rows, csv_rows = table_rows as match,
+            if(csv_rows = table_rows, 'SUCCESS', 'ROW_MISMATCH') as status, '2024-01-15 00:00:00' as uploaded_at
+        from held
+    """,
     "load_lookups": """
         select Code, Description || ' "é"' as Description, _source_file from raw_airlines
         union all select Code, Description || ' "é"', _source_file from raw_airports

@@ -115,6 +115,14 @@ def load_reconcile(w: Warehouse) -> DataFrame:
     return landing.load_months(w.spark, landed(w, on_time=False), table, LOADED_AT).drop("error", "uploaded_at")
 
 
+def load_audit(w: Warehouse) -> DataFrame:
+    """The audit files of two loads, read back: each load's files against what the table held of their months then."""
+    table, audit = fresh_folder(w.spark, "raw-flights"), fresh_folder(w.spark, "load-audit")
+    for years in ((2019, 2020), None):
+        landing.save_audit(landing.load_months(w.spark, landed(w, on_time=False), table, LOADED_AT, years=years), audit)
+    return landing.read_audit(w.spark, audit).drop("error")
+
+
 def load_lookups(w: Warehouse) -> DataFrame:
     """Both lookups through their files: airlines in UTF-8, airports in Latin-1."""
     folder = fresh_folder(w.spark, "lookups")
@@ -184,6 +192,7 @@ LANDING: dict[str, WarehouseQuery] = {
     "months_to_load": months_to_load,
     "load_append": load_append,
     "load_reconcile": load_reconcile,
+    "load_audit": load_audit,
     "load_lookups": load_lookups,
     "file_month_check": file_month_check,
     "missing_files": missing_files,
