@@ -27,6 +27,8 @@ UNKNOWN = "und"
 MAX_ROWS = 1000
 MAX_BYTES = 1_500_000
 TOTAL_BYTES = 24_000_000
+#: keys are cut into 2^12 slices by hash before the first ones of a language are ordered
+SLICE_BITS = 12
 #: Up to this size the statistics are folded into one dense table.
 DENSE_BYTES = 200_000_000
 
@@ -202,6 +204,20 @@ def predict(model: ContextTrees | SparseTrees, column: pa.Array) -> tuple[list[s
     return names, np.where(letters, score, 0.0)
 
 
+def _lowest_slices(keys: DataFrame, first: int) -> DataFrame:
+    """The keys of each stratum in the lowest slices of ``_order`` that hold ``first`` of them.
+
+    Keys are counted per slice before the shuffle, so that a stratum's task
+    orders some more than ``first`` keys and not a share of all.
+    """
+    sliced = keys.withColumn("_slice", F.shiftright("_order", 64 - SLICE_BITS))
+    counts = sliced.groupBy("stratum", "_slice").agg(F.count(F.lit(1)).alias("_keys"))
+    lower = Window.partitionBy("stratum").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_lower", F.coalesce(F.sum("_keys").over(lower), F.lit(0)))
+    last = counts.filter(F.col("_lower") < first).groupBy("stratum").agg(F.max("_slice").alias("_last"))
+    return sliced.join(F.broadcast(last), "stratum").filter(F.col("_slice") <= F.col("_last")).select(*keys.columns)
+
+
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
           max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, total_bytes: int = TOTAL_BYTES) -> ContextTrees | SparseTrees:
     """Train on a bounded sample of each language's rows; rows without id, text or language don't count.
@@ -216,8 +232,9 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     rows = rows.withColumn("_order", F.xxhash64(F.col("id").cast("string"), F.lit(11)))
     share = max(64, min(max_bytes, total_bytes // max(1, rows.select("stratum").distinct().count())))
     limit = max(share // 100, min(share // 4, 1000))
+    first = min(max_rows, share // 64)
     rank = F.row_number().over(Window.partitionBy("stratum").orderBy("_order", "id"))
-    chosen = rows.select("id", "stratum", "_order").withColumn("_rank", rank).filter(F.col("_rank") <= min(max_rows, share // 64))
+    chosen = _lowest_slices(rows.select("id", "stratum", "_order"), first).withColumn("_rank", rank).filter(F.col("_rank") <= first)
     # only keys are ordered; texts are read where they lie
     taken = rows.join(F.broadcast(chosen.select("id", "stratum").distinct()), ["id", "stratum"])
     length = F.length("_text")

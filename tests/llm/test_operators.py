@@ -382,6 +382,21 @@ def test_sparse_trees_equal_dense_ones(monkeypatch):
     assert isinstance(model, ppm.SparseTrees) and np.allclose(ppm.code_lengths(model, *common.byte_buffers(column)), dense, rtol=1e-5)
 
 
+def test_first_keys_of_a_language_come_from_its_lowest_slices(spark):
+    keys = spark.range(30_000).selectExpr(
+        "id", "case when id % 10 < 8 then 'hot' when id % 10 = 8 then 'b' else concat('c', id % 7) end as stratum",
+        "xxhash64(cast(id as string), 11) as _order",
+    )
+    every: dict[str, list] = {}
+    for r in keys.collect():
+        every.setdefault(r["stratum"], []).append((r["_order"], r["id"]))
+    some: dict[str, list] = {}
+    for r in ppm._lowest_slices(keys, 1000).collect():
+        some.setdefault(r["stratum"], []).append((r["_order"], r["id"]))
+    assert {k: sorted(v)[:1000] for k, v in some.items()} == {k: sorted(v)[:1000] for k, v in every.items()}
+    assert len(every["hot"]) == 24_000 and len(some["hot"]) < 1100
+
+
 def test_every_language_is_learned(spark):
     rng = np.random.default_rng(6)
     words = {f"l{k:03}": ["".join(chr(97 + x) for x in rng.integers(0, 26, 6)) for _ in range(6)] for k in range(230)}
