@@ -9,7 +9,7 @@ import pytest
 from helpers import airports, lookup
 from pyspark.sql import functions as F
 
-from tarmac.operators import profiling, quality, routes
+from tarmac.operators import enrichment, profiling, quality, routes
 from tarmac.operators.enrichment import enrich_flights
 from tarmac.operators.staging import stage_airlines, stage_airports, stage_flights
 from tarmac.plans.warehouse import Warehouse
@@ -189,3 +189,27 @@ def test_a_hot_combination_is_dealt_to_several_files(spark):
     dealt = tables.dealt_to_files(rows, "m", ["c", "o"], 100)
     counts = [r["count"] for r in dealt.groupBy("_file").count().collect()]
     assert sum(counts) == 1000 and max(counts) < 250 and len(counts) >= 9
+
+
+def test_large_lookups_are_cut_to_the_keys_in_use(spark):
+    warehouse = Warehouse.of_driver_tables(spark, SF_DIR, AS_OF)
+    expected = fingerprint(enrich_flights(warehouse.stg_flights, warehouse.stg_airlines, warehouse.stg_airports))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="16KB", spark__sql__adaptive__autoBroadcastJoinThreshold="16KB"):
+        enriched = warehouse.flights_enriched
+        plan = enriched._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+        assert fingerprint(enriched) == expected
+    airlines_used, airports_used = warehouse.lookups_in_use
+    assert airlines_used.count() < warehouse.stg_airlines.count() and airports_used.count() < 10
+
+
+def test_lookups_in_use_keep_repeated_codes_and_pass_over_missing_keys(spark):
+    flights = spark.createDataFrame(
+        [("AA", "1", "2"), ("AA", "1", None), (None, None, "9")], "carrier_code string, origin_airport_id string, dest_airport_id string"
+    )
+    found = enrichment.lookup_keys(flights)
+    lines = lookup(spark, [("7", "A: AA"), ("8", "B: AA"), ("9", "C: DL"), ("10", "Uncoded")])
+    places = lookup(spark, [("1", "City, ST: One"), ("2", "City, ST: Two"), ("3", "City, ST: Three")])
+    kept = enrichment.airlines_in_use(stage_airlines(lines), found).collect()
+    assert sorted(r.carrier_id for r in kept) == ["7", "8"]
+    assert sorted(r.airport_id for r in enrichment.airports_in_use(stage_airports(places), found).collect()) == ["1", "2"]
