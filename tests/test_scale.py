@@ -213,3 +213,10 @@ def test_lookups_in_use_keep_repeated_codes_and_pass_over_missing_keys(spark):
     kept = enrichment.airlines_in_use(stage_airlines(lines), found).collect()
     assert sorted(r.carrier_id for r in kept) == ["7", "8"]
     assert sorted(r.airport_id for r in enrichment.airports_in_use(stage_airports(places), found).collect()) == ["1", "2"]
+
+
+def test_rows_meet_their_file_numbers_without_a_shuffle(spark):
+    rows = spark.range(100_000).selectExpr("date'2019-01-01' as m", "cast(id % 7 as string) as c", "'X' as o", "id")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="64KB", spark__sql__adaptive__autoBroadcastJoinThreshold="64KB"):
+        plan = tables.dealt_to_files(rows, "m", ["c", "o"], 10_000)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
