@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import Remembered, byte_buffers, per_process, slices
+from tarmac.llm.common import Remembered, byte_buffers, gathered, per_process, slices
 from tarmac.sources.tables import fresh_folder
 
 DATA_BITS = 60
@@ -243,17 +243,7 @@ def _chunk_ids(path: str, texts: list[str], parted_by: str) -> tuple[np.ndarray,
     model = per_process(f"byte pairs {path}", lambda: _byte_pairs(tokenizer))
     remembered: Remembered = per_process(f"chunks {path}", lambda: Remembered(KNOWN_CHUNKS))
     lists = pc.split_pattern(pa.array(texts, pa.large_string()), parted_by)
-    numbered = lists.flatten().dictionary_encode()
-    chunks = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-    known = remembered.learn(set(chunks), lambda new: _encode_chunks(tokenizer, model, list(map(_chunk_text, new))))
-    parts = list(map(known.__getitem__, chunks))
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
-    ids, begins = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(lengths) - lengths
-    codes = numbered.indices.to_numpy()
-    n = lengths[codes]
-    ends = np.append(0, np.cumsum(n))
-    gathered = ids[np.repeat(begins[codes] - ends[:-1], n) + np.arange(ends[-1])]
-    return gathered, np.diff(ends[lists.offsets.to_numpy()])
+    return gathered(lists, remembered, lambda new: _encode_chunks(tokenizer, model, list(map(_chunk_text, new))))
 
 
 def token_ids(path: str, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

@@ -19,13 +19,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import Remembered, per_process, with_columns_from_text
+from tarmac.llm.common import Remembered, gathered, per_process, with_columns_from_text
 
 SPACE = "▁"
 NO_EDGE = np.iinfo(np.int32).max
+#: The number after those of all characters.
+GAP = 0x110000
 BATCH_CHARS = 1 << 17
 LONG_WORD = 256
 #: Words remembered in each of two generations.
@@ -80,63 +83,87 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def suffix_array(chars: np.ndarray, depth: int) -> np.ndarray:
-    """Start positions of all suffixes, sorted by their first ``depth`` characters at least (prefix doubling)."""
-    _, rank = np.unique(chars, return_inverse=True)
-    rank, span = rank.astype(np.int64) + 1, 1
+@dataclass
+class _Tables:
+    """A model's pieces as edges are found by them: piece k, or none where k is the number of pieces."""
+
+    codes: np.ndarray  # per code point: place in the alphabet of the pieces from 1 on, 0 for characters in no piece
+    low: np.ndarray  # each piece's key, rising
+    high: np.ndarray  # the least key beyond all texts that start with it
+    lengths: np.ndarray
+    ranks: np.ndarray
+    ids: np.ndarray
+
+
+def _tables(model: Pieces) -> _Tables:
+    points = [_points(p) for p in model.pieces]
+    alphabet = np.unique(np.concatenate([np.zeros(0, np.uint32), *points]))
+    kind = np.uint16 if len(alphabet) < 0xFFFF else np.uint32
+    codes = np.zeros(GAP + 1, kind)
+    codes[alphabet] = np.arange(1, len(alphabet) + 1)
+    low, high = [], []
+    for x in points:
+        x = codes[x].astype(codes.dtype.newbyteorder(">"))
+        low.append(x.tobytes())
+        x[-1] += 1
+        high.append(x.tobytes())
+    wide = f"S{codes.itemsize * model.longest}"
+    order = np.argsort(np.array(low, wide), kind="stable")  # neighbouring keys are looked up one after the other
+    return _Tables(codes, np.array(low, wide)[order], np.array(high, wide)[order], model.lengths[order],
+                   np.append(model.ranks[order], NO_EDGE), np.append(model.ids[order], -1))
+
+
+def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
+    """Start positions of all suffixes, sorted by their first ``depth`` codes at least (prefix doubling from as many as 64 bits hold)."""
+    n, bits = len(codes), 8 * codes.itemsize
+    span = 64 // bits
+    padded = np.append(codes, np.zeros(span, codes.dtype)).astype(np.uint64)
+    rank = np.zeros(n, np.uint64)
+    for k in range(span):
+        rank = rank << np.uint64(bits) | padded[k : k + n]
     while span < depth:
-        after = np.zeros_like(rank)
-        after[:-span] = rank[span:] if span < len(rank) else 0
-        _, rank = np.unique(rank * (len(rank) + 2) + after, return_inverse=True)
-        rank, span = rank + 1, span * 2
-    return np.argsort(rank, kind="stable")
+        _, dense = np.unique(rank, return_inverse=True)
+        rank = (dense + 1) * (n + 2)
+        rank[:-span] += dense[span:] + 1 if span < n else 0
+        span *= 2
+    return np.argsort(rank)
 
 
-def _keys(points: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
-    """The first ``depth`` characters from each start as byte strings that compare like the text."""
-    padded = np.append(points + 1, np.zeros(depth, np.uint32)).astype(">u4")
-    return padded[starts[:, None] + np.arange(depth)].view(f"S{4 * depth}").ravel()
+def _keys(codes: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
+    """The first ``depth`` codes from each start as byte strings that compare like the text."""
+    padded = np.append(codes, np.zeros(depth, codes.dtype)).astype(codes.dtype.newbyteorder(">"))
+    return np.lib.stride_tricks.sliding_window_view(padded, depth)[starts].view(f"S{codes.itemsize * depth}").ravel()
 
 
-def edges(model: Pieces, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rank and piece of the edge at (position, length - 1); ``NO_EDGE`` and -1 where there is none."""
-    depth = model.longest
-    order = suffix_array(points, depth)
-    suffixes = _keys(points, order, depth)
-    low, high = per_process(f"piece keys {model.name}", lambda: _piece_bounds(model))
-    first, last = np.searchsorted(suffixes, low, "left"), np.searchsorted(suffixes, high, "left")
+def edges(tables: _Tables, points: np.ndarray, depth: int) -> np.ndarray:
+    """The piece that is the edge at (position, length - 1); the last place has none."""
+    codes = tables.codes[points]
+    order = suffix_array(codes, depth)
+    suffixes = _keys(codes, order, depth)
+    first, last = np.searchsorted(suffixes, tables.low, "left"), np.searchsorted(suffixes, tables.high, "left")
     found = last - first
     piece = np.repeat(np.arange(len(found)), found)
     within = np.arange(len(piece)) - np.repeat(np.cumsum(found) - found, found)
     position = order[first[piece] + within]
-    lengths = model.lengths[piece]
-    at = position * depth + lengths - 1  # a bucket for each (position, length) sorts the edges by position
-    ranks, ids = np.full(len(points) * depth, NO_EDGE, np.int32), np.full(len(points) * depth, -1, np.int32)
-    ranks[at], ids[at] = model.ranks[piece], model.ids[piece]
-    return ranks, ids
+    edge = np.full(len(points) * depth + 1, len(found), np.uint16 if len(found) < 0xFFFF else np.int32)
+    edge[position * depth + tables.lengths[piece] - 1] = piece  # a bucket for each (position, length) sorts the edges by position
+    return edge
 
 
-def _piece_bounds(model: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """Each piece's key, and the least key beyond all texts that start with it."""
-    low, high = [], []
-    for p in model.pieces:
-        x = (_points(p) + 1).astype(">u4")
-        low.append(x.tobytes())
-        x = x.copy()
-        x[-1] += 1
-        high.append(x.tobytes())
-    return np.array(low, f"S{4 * model.longest}"), np.array(high, f"S{4 * model.longest}")
+def _union_ranks(edge: np.ndarray, ranks: np.ndarray, depth: int, starts: np.ndarray, ends: np.ndarray, word: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Ranks of the unions of these edges with their neighbours on the right in the same word."""
+    right = np.minimum(left + 1, len(starts) - 1)
+    union = ends[right] - starts[left]
+    fits = (right > left) & (word[right] == word[left]) & (union <= depth)
+    return ranks[edge[np.where(fits, starts[left] * depth + union - 1, len(edge) - 1)]].astype(np.int64)
 
 
-def _relax_together(ranks: np.ndarray, depth: int, starts: np.ndarray, ends: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _relax_together(edge: np.ndarray, ranks: np.ndarray, depth: int, starts: np.ndarray, ends: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Relax many short words at once, one union per word and round. Returns the edges left."""
     done_starts, done_ends = [], []
+    rank = _union_ranks(edge, ranks, depth, starts, ends, word, np.arange(len(starts)))
     while len(starts):
-        union = ends[1:] - starts[:-1]
-        fits = (word[1:] == word[:-1]) & (union <= depth)
-        key = np.full(len(starts), (int(NO_EDGE) << 32), np.int64)
-        key[:-1][fits] = ranks[starts[:-1][fits] * depth + union[fits] - 1].astype(np.int64) << 32
-        key |= np.arange(len(starts))
+        key = rank << 32 | np.arange(len(starts))
         heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
         best = np.minimum.reduceat(key, heads)
         going = (best >> 32) != NO_EDGE
@@ -144,15 +171,17 @@ def _relax_together(ranks: np.ndarray, depth: int, starts: np.ndarray, ends: np.
         live = np.repeat(going, sizes)
         done_starts.append(starts[~live])
         done_ends.append(ends[~live])
-        left = (best[going] & 0xFFFFFFFF).astype(np.int64)
-        ends = ends.copy()
+        left = best[going] & 0xFFFFFFFF
         ends[left] = ends[left + 1]
         live[left + 1] = False
-        starts, ends, word = starts[live], ends[live], word[live]
+        moved = (np.cumsum(live) - 1)[left]  # where the united edges are now; their unions and those before them are new
+        starts, ends, word, rank = starts[live], ends[live], word[live], rank[live]
+        changed = np.concatenate([moved, moved[moved > 0] - 1])
+        rank[changed] = _union_ranks(edge, ranks, depth, starts, ends, word, changed)
     return np.concatenate(done_starts or [starts]), np.concatenate(done_ends or [ends])
 
 
-def _relax_long(ranks: np.ndarray, depth: int, start: int, end: int) -> list[tuple[int, int]]:
+def _relax_long(edge: np.ndarray, ranks: np.ndarray, depth: int, start: int, end: int) -> list[tuple[int, int]]:
     """Relax one long word with a queue of unions."""
     before = {p: p - 1 for p in range(start + 1, end)}
     after = {p: p + 1 for p in range(start, end)}  # where the edge at p ends
@@ -161,7 +190,7 @@ def _relax_long(ranks: np.ndarray, depth: int, start: int, end: int) -> list[tup
     def push(a: int) -> None:
         b = after.get(a)
         if b is not None and b < end and after[b] - a <= depth:
-            rank = int(ranks[a * depth + after[b] - a - 1])
+            rank = int(ranks[edge[a * depth + after[b] - a - 1]])
             if rank != NO_EDGE:
                 heapq.heappush(queue, (rank, a, b, after[b]))
 
@@ -197,22 +226,24 @@ def encode_distinct(model: Pieces, words: list[str]) -> list[bytes]:
 
 def _encode_batch(model: Pieces, words: list[str]) -> list[bytes]:
     depth = model.longest
+    tables: _Tables = per_process(f"piece tables {model.name}", lambda: _tables(model))
     lengths = np.array([len(w) for w in words])
     offsets = np.cumsum(lengths + 1) - lengths - 1
     points = _points("\0".join(words) + "\0").copy()
     gaps = offsets + lengths
-    points[gaps] = 0x110000  # parts words; in no piece
-    ranks, ids = edges(model, points)
+    points[gaps] = GAP  # parts words; in no piece
+    edge = edges(tables, points, depth)
     short = np.flatnonzero((lengths <= LONG_WORD) & (lengths > 0))
     owner = np.repeat(short, lengths[short])
     starts = np.arange(len(owner)) - np.repeat(np.cumsum(lengths[short]) - lengths[short], lengths[short]) + offsets[owner]
-    starts, ends = _relax_together(ranks, depth, starts, starts + 1, owner)
+    starts, ends = _relax_together(edge, tables.ranks, depth, starts, starts + 1, owner)
+    sizes = np.zeros(len(points), np.int32)
+    sizes[starts] = ends - starts
     for k in np.flatnonzero(lengths > LONG_WORD):
-        pairs = np.array(_relax_long(ranks, depth, int(offsets[k]), int(gaps[k])))
-        starts, ends = np.append(starts, pairs[:, 0]), np.append(ends, pairs[:, 1])
-    order = np.argsort(starts)
-    starts, ends = starts[order], ends[order]
-    found = ids[starts * depth + ends - starts - 1].astype(np.int64)
+        pairs = np.array(_relax_long(edge, tables.ranks, depth, int(offsets[k]), int(gaps[k])))
+        sizes[pairs[:, 0]] = pairs[:, 1] - pairs[:, 0]
+    starts = np.flatnonzero(sizes)
+    found = tables.ids[edge[starts * depth + sizes[starts] - 1]].astype(np.int64)
     counts = np.ones(len(found), np.int64)
     unknown = np.flatnonzero(found < 0)
     if len(unknown):
@@ -223,9 +254,8 @@ def _encode_batch(model: Pieces, words: list[str]) -> list[bytes]:
         for k, x in zip(unknown, spelled, strict=True):
             full[places[k] : places[k] + len(x)] = x
         found = full
-    per_word = np.add.reduceat(counts, np.searchsorted(starts, offsets)) if len(counts) else np.zeros(len(words), np.int64)
-    per_word[lengths == 0] = 0
-    data, ends_at = found.astype("<u4").tobytes(), np.append(0, np.cumsum(per_word)) * 4
+    edges_before, ids_before = np.searchsorted(starts, np.append(offsets, len(points))), np.append(0, np.cumsum(counts)) * 4
+    data, ends_at = found.astype("<u4").tobytes(), ids_before[edges_before].tolist()
     return [data[a:b] for a, b in zip(ends_at[:-1], ends_at[1:], strict=True)]
 
 
@@ -237,13 +267,37 @@ def _word_pattern(model: Pieces) -> re.Pattern:
     return re.compile(f"{SPACE}*[^{SPACE}{line}]+|{SPACE}+" + ("|\n" if line else ""))
 
 
+def _word(key: str) -> str:
+    """What a word's key stands for: most words begin with a blank, which their keys leave out; `\\r` marks one that stands as it is."""
+    return key[1:] if key[:1] == "\r" else key if key == "\n" else SPACE + key
+
+
 def encode_texts(model: Pieces, texts: list[str | None]) -> list[bytes]:
-    """Ids of whole texts as bytes; each distinct word is encoded once per worker while it is remembered."""
+    """Ids of whole texts as bytes; each distinct word is encoded once per worker while it is remembered.
+
+    Of texts without neighbouring or leading blanks, Arrow makes the words; the pattern parts the others.
+    """
     pattern = per_process(f"piece words {model.name}", lambda: _word_pattern(model))
     remembered: Remembered = per_process(f"known pieces {model.name}", lambda: Remembered(KNOWN_WORDS))
-    parted = [pattern.findall(SPACE + x.replace(" ", SPACE)) if x else [] for x in texts]
-    known = remembered.learn({w for words in parted for w in words}, lambda new: encode_distinct(model, new))
-    return [b"".join(map(known.__getitem__, words)) for words in parted]
+    plain, odd = ([], []), ([], [])
+    for k, x in enumerate(texts):
+        if not x:
+            continue
+        if not (model.splits_blanks and model.splits_lines) or "  " in x or x[0] == " " or "\r" in x or SPACE in x:
+            odd[0].append(k)
+            odd[1].append(["\r" + w for w in pattern.findall(SPACE + x.replace(" ", SPACE))])
+        else:
+            plain[0].append(k)
+            plain[1].append(x.replace("\n", " \n \r"))
+    out = [b""] * len(texts)
+    ways = (plain[0], pc.split_pattern(pa.array(plain[1], pa.large_string()), " ")), (odd[0], pa.array(odd[1], pa.list_(pa.large_string())))
+    for places, keys in ways:
+        if places:
+            ids, sizes = gathered(keys, remembered, lambda new: encode_distinct(model, list(map(_word, new))))
+            data, ends = ids.tobytes(), np.append(0, np.cumsum(sizes) * 4).tolist()
+            for k, a, b in zip(places, ends[:-1], ends[1:], strict=True):
+                out[k] = data[a:b]
+    return out
 
 
 def decode_ids(model: Pieces, ids: np.ndarray) -> str:

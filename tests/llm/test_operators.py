@@ -459,6 +459,36 @@ def test_token_files_match_the_library(spark):
     assert simple8b.round_trip(empty_docs(spark), queries.TOKENIZER).count() == 0
 
 
+def test_plain_texts_need_no_pattern(monkeypatch):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
+    model = suffix_pieces.load_pieces(queries.PIECES)
+    asked = []
+
+    class Pattern:
+        def findall(self, text):
+            asked.append(text)
+            return suffix_pieces._word_pattern(model).findall(text)
+
+    monkeypatch.setattr(suffix_pieces, "per_process", lambda key, make: Pattern() if key.startswith("piece words") else common.per_process(key, make))
+    plain = ["a\nb", "a \nb", "a\n b\n", "\n\nx ", "x\n \ny", "one two, three.\nfour", "日本 é\n👍\0z", "ab" * 300]
+    odd = [" a", "a  b", "\n  a", "a\rb", "x ▁y", "▁", " "]
+    coded = suffix_pieces.encode_texts(model, [*plain, None, "", *odd])
+    assert [np.frombuffer(x, "<u4").tolist() for x in coded] == library.encode([*plain, "", "", *odd])
+    assert len(asked) == len(odd)
+
+
+def test_edges_of_a_batch_are_narrow():
+    model = suffix_pieces.load_pieces(queries.PIECES)
+    tables = suffix_pieces._tables(model)
+    points = suffix_pieces._points("▁the▁ing")
+    edge = suffix_pieces.edges(tables, points, model.longest)
+    assert edge.dtype == np.uint16 and len(edge) == len(points) * model.longest + 1
+    found = {(a, n + 1): int(tables.ids[edge[a * model.longest + n]]) for a in range(len(points)) for n in range(model.longest)}
+    text, known = "▁the▁ing", {p: int(i) for p, i in zip(model.pieces, model.ids, strict=True)}
+    assert all(i == known.get(text[a : a + n] if a + n <= len(text) else None, -1) for (a, n), i in found.items())
+
+
 def test_pieces_match_the_library(spark):
     sentencepiece = pytest.importorskip("sentencepiece")
     library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
