@@ -35,11 +35,13 @@ LAST_SELECTOR = 14
 BLOCK_IDS = 1 << 16
 RANGE_ROWS = 8192
 MOST_RANGES = 20_000
-BATCH_BYTES = 1 << 20
+#: Bytes of text whose distinct chunks are looked up together, and ids that are packed into words together.
+BATCH_BYTES = 1 << 22
+WORD_IDS = 1 << 18
 #: So many documents that are not at their end yet are walked one by one rather than together.
 FEW_DOCS = 24
 #: Chunks remembered in each of two generations.
-KNOWN_CHUNKS = 250_000
+KNOWN_CHUNKS = 500_000
 MAGIC = b"S8BLOCK1"
 
 # The blanks of Unicode's White_Space property. Byte-level BPE parts text before each single space or line feed
@@ -284,6 +286,18 @@ def token_ids(path: str, texts: list[str | None]) -> tuple[np.ndarray, np.ndarra
     return out, sizes
 
 
+def _in_slices(ids: np.ndarray, sizes: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Raw words' numbers and words of all documents, some ``WORD_IDS`` ids at a time."""
+    ends = np.append(0, np.cumsum(sizes))
+    raws: list[int] = []
+    coded: list[np.ndarray] = []
+    for low, high in slices(ends, WORD_IDS):
+        words, raw = encode_words(ids[ends[low] : ends[high]], ends[low : high + 1] - ends[low])
+        coded += words
+        raws += raw
+    return raws, coded
+
+
 def _packed_ranges(tokenizer: str, end_id: int):
     """Encodes the sorted rows of a range and packs them into blocks as they come."""
 
@@ -302,8 +316,7 @@ def _packed_ranges(tokenizer: str, end_id: int):
                 ids, sizes = token_ids(tokenizer, rows.column("text").to_pylist())
                 ids = np.insert(ids, np.cumsum(sizes), end_id)
                 sizes = sizes + 1
-                coded, raws = encode_words(ids, np.append(0, np.cumsum(sizes)))
-                for doc_id, size, raw, words in zip(rows.column("doc_id").to_pylist(), sizes.tolist(), raws, coded, strict=True):
+                for doc_id, size, raw, words in zip(rows.column("doc_id").to_pylist(), sizes.tolist(), *_in_slices(ids, sizes), strict=True):
                     held.append((doc_id, size, raw, words.astype("<u8").tobytes()))
                     own += size
                     if own >= BLOCK_IDS:

@@ -489,6 +489,28 @@ def test_edges_of_a_batch_are_narrow():
     assert all(i == known.get(text[a : a + n] if a + n <= len(text) else None, -1) for (a, n), i in found.items())
 
 
+def test_chunks_of_many_texts_are_encoded_once(monkeypatch):
+    texts = [" ".join(f"w{n}" for n in range(k * 40_000, (k + 1) * 40_000)) for k in range(10)]
+    coded = []
+    monkeypatch.setattr(simple8b, "_encode_chunks", lambda tokenizer, model, chunks: coded.extend(chunks) or [x.encode("utf-32-le")[:4] for x in chunks])
+    path = str(queries.TOKENIZER)
+    known = simple8b.Remembered(simple8b.KNOWN_CHUNKS)
+    monkeypatch.setattr(simple8b, "per_process", lambda key, make: known if key == f"chunks {path}" else common.per_process(key, make))
+    sizes = [int(simple8b.token_ids(path, [x])[1][0]) for x in texts * 2]
+    assert sizes == [40_000] * 20
+    assert len(coded) == len(set(coded)) >= 400_000
+
+
+def test_words_in_slices_are_those_of_each_document(monkeypatch):
+    rng = np.random.default_rng(8)
+    sizes = np.array([1, 5, 300, 2, 1, 90, 700, 1])
+    ids = rng.integers(0, 50_000, sizes.sum())
+    expected = [simple8b.encode_words(x) for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    monkeypatch.setattr(simple8b, "WORD_IDS", 100)
+    raws, words = simple8b._in_slices(ids, sizes)
+    assert [x.tolist() for x in words] == [w[0].tolist() for w, _ in expected] and raws == [r[0] for _, r in expected]
+
+
 def test_pieces_match_the_library(spark):
     sentencepiece = pytest.importorskip("sentencepiece")
     library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
