@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm import minhash, mixing, secret_scan, suffix_pieces, text_cnn
-from tarmac.llm.common import table, written
+from tarmac.llm.common import JOIN, table, written
 from tarmac.llm.queries import PIECES
 
 
@@ -31,7 +31,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("mark").alias("kept_mark")).distinct()
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("read"))
     rows = rows.withColumn("mark", minhash.mark("read"))
-    found = rows.join(kept, (rows["id"] == kept["kept_id"]) & (rows["mark"] == kept["kept_mark"]), "left_semi")
+    found = rows.join(kept.hint(JOIN), (rows["id"] == kept["kept_id"]) & (rows["mark"] == kept["kept_mark"]), "left_semi")
     first = F.row_number().over(Window.partitionBy("id", "mark").orderBy("read"))
     one = found.withColumn("place", first).filter("place = 1").select("row.*")
     return one.unionByName(docs.filter("doc_id is null"))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import byte_buffers, mixed, separators, slices, with_columns_from_text, word_hashes, written
+from tarmac.llm.common import JOIN, byte_buffers, mixed, separators, slices, with_columns_from_text, word_hashes, written
 from tarmac.llm.components import connected_components
 
 WORDS = 5
@@ -187,7 +187,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("of_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
+    joined = pairs.join(left.hint(JOIN), "a").join(right.hint(JOIN), "b").select("a", "b", "of_a", "of_b")
     return joined.mapInArrow(run, "a long, b long")
 
 
@@ -202,11 +202,11 @@ def _ranked_shingles(reps: DataFrame, sets: DataFrame) -> DataFrame:
                 same = (np.full(len(own), v, np.int64) for v in (rep[k], component[k], len(own)))
                 yield pa.RecordBatch.from_arrays([*(pa.array(v) for v in same), pa.array(own)], ["rep", "component", "size", "shingle"])
 
-    chosen = sets.join(reps, "rep").select("rep", "component", "shingles")
+    chosen = sets.join(reps.hint(JOIN), "rep").select("rep", "component", "shingles")
     rows = written(chosen.mapInArrow(run, "rep long, component long, size long, shingle long"), "leftover")
     often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"))
     rank = F.row_number().over(Window.partitionBy("rep").orderBy("holders", "shingle"))
-    return rows.join(often, "shingle").withColumn("at", rank)
+    return rows.join(often.hint(JOIN), "shingle").withColumn("at", rank)
 
 
 def _possible_pairs(reps: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -219,12 +219,12 @@ def _possible_pairs(reps: DataFrame, sets: DataFrame, threshold: float) -> DataF
     front = _ranked_shingles(reps, sets).filter((F.col("at") <= prefix) & (F.col("holders") > 1))
     front = written(front.select("rep", "component", "size", "shingle", "at"), "front")
     several = front.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    front = front.join(several.select("shingle"), "shingle")
+    front = front.join(several.select("shingle").hint(JOIN), "shingle")
     a, b = (front.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "component", "size", "at"))) for side in "ab")
     overlap = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b")) + 1
     enough = overlap * (1 + threshold) >= (F.col("size_a") + F.col("size_b")) * threshold - 1e-9
     apart = (F.col("component_a") != F.col("component_b")) & (F.col("rep_a") < F.col("rep_b"))
-    return a.join(b, "shingle").filter(apart & enough).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    return a.join(b.hint(JOIN), "shingle").filter(apart & enough).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
 
 
 def mark(text: str = "text") -> Column:
@@ -261,16 +261,16 @@ def row_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     bands = usable.groupBy("print").agg(F.min_by("keys", "doc_id").alias("keys"))
     bands = bands.select(F.xxhash64("print").alias("rep"), F.explode("keys").alias("bucket"))
     crowded = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    bands = written(bands.join(crowded, "bucket"), "bands")
+    bands = written(bands.join(crowded.hint(JOIN), "bucket"), "bands")
     firsts = usable.groupBy("print").agg(F.min(row).alias("first")).select("print", F.xxhash64("print").alias("rep"), "first")
     firsts = written(firsts, "firsts")
     links, classes_of = _linked(bands, rows, firsts, words, threshold)
     # of linked sets, the smallest row of their class; others are classes of their own
-    of = classes_of.join(firsts.select(F.col("rep").alias("node"), "first"), "node")
+    of = classes_of.join(firsts.select(F.col("rep").alias("node"), "first").hint(JOIN), "node")
     least = of.groupBy("component").agg(F.min("first").alias("least"))
-    least = classes_of.join(least, "component").select(F.col("node").alias("rep"), "least")
-    reps = firsts.join(least, "rep", "left").select("print", F.coalesce("least", "first").alias("of"))
-    own = signed.select("doc_id", "mark", "print").join(reps, "print", "left")
+    least = classes_of.join(least.hint(JOIN), "component").select(F.col("node").alias("rep"), "least")
+    reps = firsts.join(least.hint(JOIN), "rep", "left").select("print", F.coalesce("least", "first").alias("of"))
+    own = signed.select("doc_id", "mark", "print").join(reps.hint(JOIN), "print", "left")
     kept = F.when(F.col("doc_id").isNotNull(), (F.col("of.doc_id") == F.col("doc_id")) & (F.col("of.mark") == F.col("mark")))
     class_id = F.coalesce("of.doc_id", "doc_id").alias("class_id")
     return own.select("doc_id", "mark", class_id, F.coalesce(kept, F.lit(True)).alias("kept"))
@@ -278,12 +278,12 @@ def row_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
 
 def _linked(bands: DataFrame, rows: DataFrame, firsts: DataFrame, words: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Verified links of all candidates and the classes they connect."""
-    wanted = bands.select("rep").distinct().join(firsts, "rep").select("rep", "first.doc_id", "first.mark")
+    wanted = bands.select("rep").distinct().join(firsts.hint(JOIN), "rep").select("rep", "first.doc_id", "first.mark")
     # rows that repeat an id and a text count once
-    texts = rows.join(wanted, ["doc_id", "mark"]).filter("text is not null").groupBy("rep").agg(F.min("text").alias("text"))
+    texts = rows.join(wanted.hint(JOIN), ["doc_id", "mark"]).filter("text is not null").groupBy("rep").agg(F.min("text").alias("text"))
     sets = written(_shingle_sets(texts, words), "shingles")
     nearness = bands.groupBy("rep").agg(F.sum("members").alias("shared"))
-    ranked = written(bands.join(nearness, "rep").select("bucket", "rep", "shared"), "ranked")
+    ranked = written(bands.join(nearness.hint(JOIN), "rep").select("bucket", "rep", "shared"), "ranked")
     left = ranked.withColumns({"component": F.col("rep"), "centres": F.array().cast("array<long>")})
     links = None
     for turn in range(ROUNDS + 1):
@@ -293,7 +293,7 @@ def _linked(bands: DataFrame, rows: DataFrame, firsts: DataFrame, words: int, th
             first = F.struct("shared", -F.col("rep"))
             centre = open_.filter(~F.array_contains("met", F.col("component"))) if turn else open_
             centre = centre.groupBy("bucket").agg(F.max_by("rep", first).alias("b"), F.max_by("component", first).alias("of_b"))
-            pairs = open_.join(centre, "bucket").filter("component <> of_b").select(F.col("rep").alias("a"), "b")
+            pairs = open_.join(centre.hint(JOIN), "bucket").filter("component <> of_b").select(F.col("rep").alias("a"), "b")
         else:
             pairs = _possible_pairs(left.select("rep", "component").distinct(), sets, threshold)
         found = _verified(pairs.distinct(), sets, threshold)
@@ -303,12 +303,12 @@ def _linked(bands: DataFrame, rows: DataFrame, firsts: DataFrame, words: int, th
             break
         # buckets that still hold several classes go on, with the centres they have had and those centres' classes
         of = classes.withColumnRenamed("node", "rep")
-        had = left.groupBy("bucket").agg(F.first("centres").alias("centres")).join(centre.select("bucket", "b"), "bucket")
-        now = ranked.join(of, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        had = left.groupBy("bucket").agg(F.first("centres").alias("centres")).join(centre.select("bucket", "b").hint(JOIN), "bucket")
+        now = ranked.join(of.hint(JOIN), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         several = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-        now = now.join(several.select("bucket"), "bucket").join(
-            had.select("bucket", F.array_append("centres", F.col("b")).alias("centres")), "bucket"
+        now = now.join(several.select("bucket").hint(JOIN), "bucket").join(
+            had.select("bucket", F.array_append("centres", F.col("b")).alias("centres")).hint(JOIN), "bucket"
         )
         met = now.filter(F.array_contains("centres", F.col("rep"))).groupBy("bucket").agg(F.collect_set("component").alias("met"))
-        left = written(now.join(met, "bucket"), "left")
+        left = written(now.join(met.hint(JOIN), "bucket"), "left")
     return links, classes

@@ -8,6 +8,7 @@ import json
 import math
 import re
 import sys
+import weakref
 import zlib
 from pathlib import Path
 
@@ -19,7 +20,8 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
-from tarmac.llm import block_topk, common, compression_quality, minhash, mixing, ppm, queries, range_join, secret_scan, simple8b, suffix_pieces, text_cnn  # noqa: E402
+from tarmac.llm import block_topk, common, components, compression_quality, minhash, mixing, ppm, queries, range_join, secret_scan, simple8b, suffix_pieces, text_cnn  # noqa: E402
+from tarmac.llm.common import table  # noqa: E402
 from tarmac.llm.components import connected_components  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -100,6 +102,15 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_that_are_stars_take_no_round(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(components, "written", lambda df, name: made.append(name) or common.written(df, name))
+    links = [(100, k) for k in range(101, 130)] + [(7, 2), (2, 9), (2, 7)]
+    got = connected_components(spark.createDataFrame(links, "a long, b long"))
+    assert {r.node: r.component for r in got.collect()} == {**{k: 100 for k in range(100, 130)}, 2: 2, 7: 2, 9: 2}
+    assert made == ["links"]
+
+
 # --- top-k ----------------------------------------------------------------------
 
 
@@ -284,6 +295,22 @@ def test_copies_that_repeat_a_passage_are_found(spark):
     assert [r.class_id for r in sorted(got)] == expected
 
 
+def test_near_duplicates_broadcast_no_table(spark, monkeypatch):
+    plans = []
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.written(df, name)
+
+    for module in (minhash, components):
+        monkeypatch.setattr(module, "written", seen)
+    docs = table(spark, SF, "documents")
+    found = minhash.near_duplicates(docs)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert found.count() == docs.count() and len(plans) > 10
+    assert any("SortMergeJoin" in x for x in plans) and not any("BroadcastHashJoin" in x for x in plans)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = minhash.near_duplicates(odd_docs(spark)).collect()
     assert len(got) == len(ODD_TEXTS) + 2 and all(r.kept for r in got)
@@ -424,6 +451,26 @@ def test_scores_of_odd_rows(spark):
             assert len(rows) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
 
 
+def test_learning_lets_texts_go_before_training(spark, monkeypatch):
+    alive = []
+
+    class Text(str):
+        pass
+
+    texts = [Text(f"good words {k} here" if k % 2 else f"bad words {k} there") for k in range(40)]
+    rows = [{"text": x, "stratum": k % 2, "lang": "en"} for k, x in enumerate(texts)]
+    watched = [weakref.ref(x) for x in texts]
+    given = [rows]
+    del texts, rows
+    monkeypatch.setattr(text_cnn, "bounded_sample", lambda *a: given.pop())
+    fit = text_cnn._fit
+    monkeypatch.setattr(text_cnn, "_fit", lambda *a: alive.extend(x for x in watched if x() is not None) or fit(*a))
+    docs = spark.createDataFrame([(1, "x", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    model, share = text_cnn.learn(docs, labels, "toxic")
+    assert model is not None and share == 0.5 and not alive
+
+
 def test_pooling_in_pieces_equals_pooling_at_once():
     texts = [f"word{k % 97} other{k % 89}" for k in range(80)]
     model = text_cnn.train(texts, [k % 2 for k in range(80)], ["en"] * 80)
@@ -459,6 +506,28 @@ def test_token_files_match_the_library(spark):
     assert simple8b.round_trip(empty_docs(spark), queries.TOKENIZER).count() == 0
 
 
+def test_chunks_of_many_texts_are_encoded_once(monkeypatch):
+    texts = [" ".join(f"w{n}" for n in range(k * 40_000, (k + 1) * 40_000)) for k in range(10)]
+    coded = []
+    monkeypatch.setattr(simple8b, "_encode_chunks", lambda tokenizer, model, chunks: coded.extend(chunks) or [x.encode("utf-32-le")[:4] for x in chunks])
+    path = str(queries.TOKENIZER)
+    known = simple8b.Remembered(simple8b.KNOWN_CHUNKS)
+    monkeypatch.setattr(simple8b, "per_process", lambda key, make: known if key == f"chunks {path}" else common.per_process(key, make))
+    sizes = [int(simple8b.token_ids(path, [x])[1][0]) for x in texts * 2]
+    assert sizes == [40_000] * 20
+    assert len(coded) == len(set(coded)) >= 400_000
+
+
+def test_words_in_slices_are_those_of_each_document(monkeypatch):
+    rng = np.random.default_rng(8)
+    sizes = np.array([1, 5, 300, 2, 1, 90, 700, 1])
+    ids = rng.integers(0, 50_000, sizes.sum())
+    expected = [simple8b.encode_words(x) for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    monkeypatch.setattr(simple8b, "WORD_IDS", 100)
+    raws, words = simple8b._in_slices(ids, sizes)
+    assert [x.tolist() for x in words] == [w[0].tolist() for w, _ in expected] and raws == [r[0] for _, r in expected]
+
+
 def test_plain_texts_need_no_pattern(monkeypatch):
     sentencepiece = pytest.importorskip("sentencepiece")
     library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
@@ -489,28 +558,6 @@ def test_edges_of_a_batch_are_narrow():
     assert all(i == known.get(text[a : a + n] if a + n <= len(text) else None, -1) for (a, n), i in found.items())
 
 
-def test_chunks_of_many_texts_are_encoded_once(monkeypatch):
-    texts = [" ".join(f"w{n}" for n in range(k * 40_000, (k + 1) * 40_000)) for k in range(10)]
-    coded = []
-    monkeypatch.setattr(simple8b, "_encode_chunks", lambda tokenizer, model, chunks: coded.extend(chunks) or [x.encode("utf-32-le")[:4] for x in chunks])
-    path = str(queries.TOKENIZER)
-    known = simple8b.Remembered(simple8b.KNOWN_CHUNKS)
-    monkeypatch.setattr(simple8b, "per_process", lambda key, make: known if key == f"chunks {path}" else common.per_process(key, make))
-    sizes = [int(simple8b.token_ids(path, [x])[1][0]) for x in texts * 2]
-    assert sizes == [40_000] * 20
-    assert len(coded) == len(set(coded)) >= 400_000
-
-
-def test_words_in_slices_are_those_of_each_document(monkeypatch):
-    rng = np.random.default_rng(8)
-    sizes = np.array([1, 5, 300, 2, 1, 90, 700, 1])
-    ids = rng.integers(0, 50_000, sizes.sum())
-    expected = [simple8b.encode_words(x) for x in np.split(ids, np.cumsum(sizes)[:-1])]
-    monkeypatch.setattr(simple8b, "WORD_IDS", 100)
-    raws, words = simple8b._in_slices(ids, sizes)
-    assert [x.tolist() for x in words] == [w[0].tolist() for w, _ in expected] and raws == [r[0] for _, r in expected]
-
-
 def test_pieces_match_the_library(spark):
     sentencepiece = pytest.importorskip("sentencepiece")
     library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
