@@ -20,11 +20,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tarmac.llm.common import WORD_PATTERN, written
+from tarmac.llm.common import WORD_PATTERN, from_driver, written
 from tarmac.llm.merkle import ranked
 
 #: Blocks of all sources together, shared by their sizes; also the number of pools of smaller sources.
@@ -36,17 +36,16 @@ SHARD_WORDS = 1 << 22
 MOST_REPEATS = 3
 SEED = 17
 
-_DRAW = T.ArrayType(T.StructType([
-    T.StructField("epoch", T.IntegerType(), False),
-    T.StructField("shard", T.IntegerType(), False),
-    T.StructField("cut", T.LongType(), True),
-]), False)
-_BLOCK_ROW = T.StructType([
-    T.StructField("_source_no", T.LongType(), False),
-    T.StructField("_block", T.IntegerType(), False),
-    T.StructField("_draws", _DRAW, False),
+_BLOCK_ROW = pa.schema([
+    pa.field("_source_no", pa.int64(), False),
+    pa.field("_block", pa.int32(), False),
+    pa.field("_draws", pa.list_(pa.field("element", pa.struct([
+        pa.field("epoch", pa.int32(), False),
+        pa.field("shard", pa.int32(), False),
+        pa.field("cut", pa.int64(), True),
+    ]), False)), False),
 ])
-_POOL_ROW = "_pool int, _runs array<struct<end:long,shard:int>>"
+_POOL_ROW = pa.schema([("_pool", pa.int32()), ("_runs", pa.list_(pa.struct([("end", pa.int64()), ("shard", pa.int32())])))])
 
 
 @dataclass
@@ -252,7 +251,7 @@ def plan_mix(
     drawn, runs = _draw_plan(plan, block_words, pools, seed)
     spark = sized.sparkSession
     if draws:
-        rows = each.join(F.broadcast(spark.createDataFrame(runs, _POOL_ROW)), "_pool")  # at most BLOCKS pools, MOST_LOTS + BLOCKS runs
+        rows = each.join(F.broadcast(from_driver(spark, runs, _POOL_ROW)), "_pool")  # at most BLOCKS pools, MOST_LOTS + BLOCKS runs
         shard = F.filter("_runs", lambda run: run["end"] > F.col("_lot"))[0]["shard"]
         rest = F.floor("target") - F.col("epoch") * F.col("source_size")
         cut = F.when(rest < F.col("source_size"), rest)
@@ -261,7 +260,7 @@ def plan_mix(
         sources = written(sources.join(small, "_source_no", "left"), "sources-drawn")
     else:
         sources = sources.withColumn("_own_draws", F.lit(None).cast("array<struct<epoch:int,shard:int,cut:bigint>>"))
-    return sized, sources, spark.createDataFrame(drawn, _BLOCK_ROW)
+    return sized, sources, from_driver(spark, drawn, _BLOCK_ROW)
 
 
 def _with_draws(rows: DataFrame, sources: DataFrame, drawn: DataFrame) -> DataFrame:

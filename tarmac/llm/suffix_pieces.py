@@ -29,7 +29,9 @@ SPACE = "▁"
 NO_EDGE = np.iinfo(np.int32).max
 #: The number after those of all characters.
 GAP = 0x110000
-BATCH_CHARS = 1 << 17
+BATCH_CHARS = 1 << 16
+#: Bytes of texts that a worker encodes together, besides longer texts, which come alone: their ids and words take many times as much.
+TEXT_BYTES = 1 << 19
 LONG_WORD = 256
 #: Words remembered in each of two generations.
 KNOWN_WORDS = 60_000
@@ -316,19 +318,16 @@ def encode(docs: DataFrame, model: Pieces, text: str = "text") -> DataFrame:
     """
 
     def run(column: pa.Array) -> list[pa.Array]:
-        coded, restored = [], []
-        for at in range(0, len(column), 512):
-            texts = column.slice(at, 512).to_pylist()
-            for x, data in zip(texts, encode_texts(model, texts), strict=True):
-                coded.append(data)
-                restored.append(decode_ids(model, np.frombuffer(data, "<u4")) == (x or "").replace(SPACE, " "))
+        texts = column.to_pylist()
+        coded = encode_texts(model, texts)
+        restored = [decode_ids(model, np.frombuffer(data, "<u4")) == (x or "").replace(SPACE, " ") for x, data in zip(texts, coded, strict=True)]
         sizes = np.array([len(x) // 4 for x in coded], np.int64)
         values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
         ids = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), values)
         return [ids, pa.array(sizes), pa.array([zlib.crc32(x) for x in coded], pa.int64()), pa.array(restored, pa.bool_())]
 
     added = {"ids": "array<int>", "n_tokens": "bigint", "ids_crc32": "bigint", "restored": "boolean"}
-    return with_columns_from_text(docs, text, added, run)
+    return with_columns_from_text(docs, text, added, run, TEXT_BYTES)
 
 
 def decode(rows: DataFrame, model: Pieces, ids: str = "ids", text: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ import json
 import math
 import re
 import sys
+import tracemalloc
 import weakref
 import zlib
 from pathlib import Path
@@ -528,6 +529,50 @@ def test_words_in_slices_are_those_of_each_document(monkeypatch):
     assert [x.tolist() for x in words] == [w[0].tolist() for w, _ in expected] and raws == [r[0] for _, r in expected]
 
 
+def test_encoding_takes_little_memory_of_a_worker(monkeypatch):
+    taken = {}
+    monkeypatch.setattr(suffix_pieces, "with_columns_from_text", lambda docs, text, added, run, limit=4 << 20: taken.update(run=run, limit=limit))
+    model = suffix_pieces.load_pieces(queries.PIECES)
+    suffix_pieces.encode(None, model)
+    column = pa.array([" ".join(f"word{n % 5000} of the text" for n in range(k, k + 4000)) for k in range(50)])
+    taken["run"](column.slice(0, 1))  # tables are made once
+    bounds = common.slices(common.byte_buffers(column)[1], taken["limit"])
+    tracemalloc.start()
+    try:
+        made = [taken["run"](column.slice(a, b - a)) for a, b in bounds]
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert sum(len(x[1]) for x in made) == 50 and all(all(x[3].to_pylist()) for x in made)
+    assert peak - held < 24 << 20
+
+
+def test_text_columns_are_made_by_the_bytes_asked_for(spark):
+    docs = spark.createDataFrame([(k, "x" * 1000) for k in range(40)] + [(40, "y" * 9000), (41, None), (42, "")], "doc_id long, text string").coalesce(1)
+    sizes = {}
+    for limit in (4000, 1 << 20):
+        run = lambda column: [pa.array([column.nbytes] * len(column), pa.int64()), pa.array(common.byte_buffers(column)[1][1:] - common.byte_buffers(column)[1][:-1])]
+        rows = common.with_columns_from_text(docs, "text", {"together": "bigint", "own": "bigint"}, run, limit).collect()
+        assert {r.doc_id: r.own for r in rows} == {**dict.fromkeys(range(40), 1000), 40: 9000, 41: 0, 42: 0}
+        sizes[limit] = max(r.together for r in rows if r.doc_id < 40)
+    assert sizes[4000] < 5000 and sizes[1 << 20] > 20_000
+
+
+def test_draws_need_no_python_workers(spark):
+    docs = spark.createDataFrame([(k, "some words here " * (k % 7), f"s{k % 3}") for k in range(300)], "doc_id long, text string, source string")
+    for rows in (docs, docs.limit(0)):
+        drawn = mixing.plan_mix(rows)[2]
+        assert "RDD" not in drawn._jdf.queryExecution().executedPlan().toString()
+        assert drawn.schema["_draws"].dataType.simpleString() == "array<struct<epoch:int,shard:int,cut:bigint>>"
+
+
+def test_rows_from_the_driver(spark):
+    rows = [(2, 1, [(0, 3, None), (1, 4, 2**40)]), (2**40, 7, [])]
+    got = common.from_driver(spark, rows, mixing._BLOCK_ROW)
+    assert [(a, b, [tuple(d) for d in c]) for a, b, c in got.collect()] == rows
+    assert common.from_driver(spark, [], mixing._POOL_ROW).collect() == []
+
+
 def test_plain_texts_need_no_pattern(monkeypatch):
     sentencepiece = pytest.importorskip("sentencepiece")
     library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
