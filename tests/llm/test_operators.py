@@ -481,6 +481,61 @@ def test_pooling_in_pieces_equals_pooling_at_once():
     assert np.allclose(text_cnn._pooled(model, words, counts), whole)
 
 
+def plain_step(model, texts, labels):
+    """Every parameter after one step of Adam on one batch, walked position by position in double precision."""
+    values = {k: np.array(getattr(model, k), float) for k in ("embeddings", "kernels", "bias", "output", "offset")}
+    grads = {k: np.zeros_like(v) for k, v in values.items()}
+    firsts = {k: sum(text_cnn.WIDTHS[:k]) * text_cnn.FILTERS for k in range(len(text_cnn.WIDTHS))}
+    for words, label in zip(texts, labels, strict=True):
+        padded = [*words, *[text_cnn.BUCKETS] * max(text_cnn.WIDTHS)]
+        best = []
+        for f in range(len(values["bias"])):
+            width, column = text_cnn.WIDTHS[f // text_cnn.FILTERS], firsts[f // text_cnn.FILTERS] + f % text_cnn.FILTERS
+            windows = [[(padded[t + j], column + j * text_cnn.FILTERS) for j in range(width)] for t in range(len(words) + 1)]
+            responses = [sum(values["embeddings"][w] @ values["kernels"][:, c] for w, c in window) for window in windows]
+            best.append((max(responses), windows[int(np.argmax(responses))]))
+        features = np.maximum([r + b for (r, _), b in zip(best, values["bias"], strict=True)], 0)
+        error = (1 / (1 + np.exp(-(features @ values["output"] + values["offset"]))) - label) / len(texts)
+        grads["output"] += error * features
+        grads["offset"] += error
+        for f in np.flatnonzero(features):
+            back = error * values["output"][f]
+            grads["bias"][f] += back
+            for w, c in best[f][1]:
+                grads["kernels"][:, c] += back * values["embeddings"][w]
+                grads["embeddings"][w] += back * values["kernels"][:, c]
+    for name in ("output", "kernels"):
+        grads[name] += 1e-4 * values[name]
+    grads["embeddings"][text_cnn.BUCKETS] = 0
+    return {k: v - 0.01 * grads[k] / (np.abs(grads[k]) + 1e-8) for k, v in values.items()}, grads
+
+
+def test_a_step_trains_every_parameter_with_adam(monkeypatch):
+    texts = ["bad words here", "good words there now", "", "one bad thing", "fine"]
+    labels = np.array([1, 0, 0, 1, 0])
+    rows = text_cnn._hashed(texts)
+    fit = text_cnn._fit
+    monkeypatch.setattr(text_cnn, "_fit", lambda *a: None)
+    model = text_cnn.train(texts * 4, [*labels] * 4, ["en"] * 20)
+    expected, grads = plain_step(model, rows, labels)
+    before = model.embeddings.copy()
+    monkeypatch.setattr(text_cnn, "EPOCHS", 1)
+    fit(model, rows, labels, np.arange(len(rows)), np.random.default_rng(0))
+    for name, value in expected.items():
+        clear = (np.abs(grads[name]) > 1e-5) | (grads[name] == 0)
+        assert np.allclose(np.asarray(getattr(model, name))[clear], value[clear], atol=1e-4), name
+    moved = np.unique(np.nonzero(model.embeddings != before)[0])
+    assert len(moved) >= 8 and {*moved} <= {int(w) for r in rows for w in r}
+
+
+def test_scores_do_not_depend_on_the_texts_beside():
+    texts = [f"good words {k} here" if k % 2 else f"bad words {k} there" for k in range(40)]
+    model = text_cnn.train(texts, [k % 2 for k in range(40)], ["en"] * 40)
+    odd = ["plain", "", "bad words", "fine", "good", "bad", "", "x", "words here"]
+    alone = [text_cnn.score(model, pa.array([x]))[0] for x in odd]
+    assert np.allclose(text_cnn.score(model, pa.array(odd)), alone, atol=1e-5)
+
+
 # --- token files -----------------------------------------------------------------------
 
 
